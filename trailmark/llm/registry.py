@@ -4,20 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-import corpus_pipeline
-
-MODULES = (
-    "mixing",
-    "quality",
-    "substrings",
-    "toxicity",
-    "exact_dedup",
-    "byte_bpe",
-    "simhash_dedup",
-    "html_extract",
-    "language_id",
-    "fingerprints",
-)
+MODULES = ("exact_dedup",)
 
 
 def _modules():
@@ -25,11 +12,8 @@ def _modules():
 
 
 def queries():
-    return {m.QUERY: m.query for m in _modules()} | {"pipeline": corpus_pipeline.run}
+    return {m.QUERY: m.query for m in _modules()}
 
 
 def oracle_sql():
-    found = {m.QUERY: m.ORACLE_SQL for m in _modules() if m.ORACLE_SQL is not None}
-    if corpus_pipeline.ORACLE_SQL is not None:
-        found["pipeline"] = corpus_pipeline.ORACLE_SQL
-    return found
+    return {m.QUERY: m.ORACLE_SQL for m in _modules() if m.ORACLE_SQL is not None}
