@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("exact_dedup",)
+MODULES = ("mixing", "exact_dedup", "simhash_dedup", "fingerprints")
 
 
 def _modules():
