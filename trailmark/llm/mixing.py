@@ -99,13 +99,18 @@ def _positions(sized: DataFrame, by_source: DataFrame) -> DataFrame:
         .orderBy("shuffle", "doc_id", "size", "text_md5")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    rows = rows.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    rows = rows.withColumns(
+        {
+            "within": F.coalesce(F.sum("size").over(inside), F.lit(0)),
+            "seq": F.row_number().over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        }
+    )
     joined = rows.join(sums, F.col("source").eqNullSafe(F.col("__s")) & (F.col("bucket") == F.col("__b")))
-    return joined.withColumn("start", F.col("before") + F.col("within")).drop("__s", "__b", "before", "within", "bucket")
+    return joined.withColumn("start", F.col("before") + F.col("within")).drop("__s", "__b", "before", "within")
 
 
 def placed(docs: DataFrame, repeats: int = MAX_REPEATS) -> DataFrame:
-    """Each row of docs with its place: doc_id, text_md5, source, size, source_size, target, start.
+    """Each row of docs with its place: doc_id, text_md5, source, size, source_size, target, start, bucket and seq.
 
     Null sources are one source, the last in order; null texts have no words. Rows with equal ids are told apart by
     their sizes and texts. Other columns are ignored, whatever their names.
@@ -120,29 +125,27 @@ def _taken(start: Column, size: Column, target: Column) -> Column:
     return F.greatest(F.least(F.floor(target) - start, size), F.lit(0)).cast("bigint")
 
 
-def schedule(docs: DataFrame, repeats: int = MAX_REPEATS) -> DataFrame:
-    """The mix in order of virtual finish time: doc_id, text_md5, source, turn, finish, words; cut at the budget.
-
-    One row for each time a document is played; documents without words are played once, at their place.
-    """
-    rows = placed(docs, repeats)
-    turns = rows.select("*", F.explode(F.array(*[F.lit(k) for k in range(repeats)])).alias("turn"))
+def turns(rows: DataFrame, repeats: int = MAX_REPEATS) -> DataFrame:
+    """Every turn of every placed row: its columns, turn, virtual finish time, the words it gives before the cut
+    and whether it is in the mix (a document without words is, once, where its place is before the cut)."""
     begin = F.col("start") + F.col("turn") * F.col("source_size")
-    played = turns.select(
-        "doc_id",
-        "text_md5",
-        "source",
-        "turn",
-        "size",
-        F.when(F.col("target") > 0, (begin + F.col("size")).cast("double") / F.col("target")).otherwise(F.lit(0.0)).alias(
-            "finish"
-        ),
-        _taken(begin, F.col("size"), F.col("target")).alias("words"),
-        begin.alias("begin"),
-        "target",
+    played = rows.withColumn("turn", F.explode(F.array(*[F.lit(k) for k in range(repeats)])))
+    return played.withColumns(
+        {
+            "finish": F.when(
+                F.col("target") > 0, (begin + F.col("size")).cast("double") / F.col("target")
+            ).otherwise(F.lit(0.0)),
+            "words": _taken(begin, F.col("size"), F.col("target")),
+        }
+    ).withColumn(
+        "in_mix",
+        (F.col("words") > 0) | ((F.col("size") == 0) & (F.col("turn") == 0) & (F.col("start") <= F.col("target"))),
     )
-    inside = (F.col("words") > 0) | ((F.col("size") == 0) & (F.col("turn") == 0) & (F.col("begin") <= F.col("target")))
-    return played.where(inside).orderBy("finish", "source", "doc_id", "turn").drop("begin", "target")
+
+
+def schedule(docs: DataFrame, repeats: int = MAX_REPEATS) -> DataFrame:
+    """The mix in order of virtual finish time, cut at the budget: one row for each time a document is played."""
+    return turns(placed(docs, repeats), repeats).where("in_mix").orderBy("finish", "source", "doc_id", "turn")
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -209,11 +212,9 @@ FROM placed
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The digest of the schedule: one row per document, the words of all its turns added up."""
-    rows = placed(table(spark, sf_dir, "documents"))
-    turns = [
-        _taken(F.col("start") + k * F.col("source_size"), F.col("size"), F.col("target")) for k in range(MAX_REPEATS)
-    ]
-    total = turns[0]
-    for more in turns[1:]:
-        total = total + more
-    return rows.select("doc_id", "size", "source_size", "target", total.alias("taken"))
+    rows = turns(placed(table(spark, sf_dir, "documents")))
+    return (
+        rows.groupBy("source", "bucket", "seq", "doc_id", "size", "source_size", "target")
+        .agg(F.sum("words").alias("taken"))
+        .select("doc_id", "size", "source_size", "target", "taken")
+    )
