@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("mixing", "exact_dedup", "simhash_dedup", "fingerprints")
+MODULES = ("mixing", "exact_dedup", "byte_bpe", "simhash_dedup", "fingerprints")
 
 
 def _modules():
