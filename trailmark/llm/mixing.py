@@ -151,24 +151,24 @@ def schedule(docs: DataFrame, repeats: int = MAX_REPEATS) -> DataFrame:
 def mix(docs: DataFrame) -> DataFrame:
     """docs in the mix: a row for each time a document is played, in order of virtual finish time, with docs' own
     columns; the one document of a source that the cut falls into keeps its first words only. Null sources and texts
-    as in `placed`; documents that share id and text are played once for each of their rows."""
-    order = schedule(docs)
-    key = lambda text_md5: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), text_md5)
-    plan = order.select(
-        key(F.col("text_md5")).alias("__key"), "finish", "turn", "words", "size", F.col("source").alias("__source")
-    )
-    marked = docs.withColumn("__key", key(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
-    # rows repeated as a whole: the n-th row goes with the n-th place in the queue
-    nth = Window.partitionBy("__key").orderBy("source")
-    marked = marked.withColumn("__n", F.row_number().over(nth))
-    plan = plan.withColumn("__n", F.row_number().over(Window.partitionBy("__key", "turn").orderBy("__source", "finish")))
-    first = F.array_join(F.slice(words(F.col("text")), F.lit(1), F.greatest(F.col("words"), F.lit(1)).cast("int")), " ")
-    text = F.when(F.col("words") < F.col("size"), first).otherwise(F.col("text"))
-    joined = marked.join(plan.drop("__source"), ["__key", "__n"]).withColumn("text", text)
+    as in `placed`. Rows that share id, source and text are played once for each of them, all with the other columns
+    of one of them."""
+
+    def key(text_md5: Column) -> Column:
+        parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in ("doc_id", "source")]
+        return F.md5(F.concat_ws("\x01", *parts, text_md5).cast("binary"))
+
+    plan = schedule(docs).select(key(F.col("text_md5")).alias("__key"), "finish", "turn", "words", "size")
+    text_md5 = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    rows = docs.select(key(text_md5).alias("__key"), F.struct(*docs.columns).alias("row"))
+    once = rows.groupBy("__key").agg(F.first("row").alias("row"))
+    joined = once.join(plan, "__key").select("finish", "__key", "turn", "words", "size", "row.*")
+    cut = F.col("words") < F.col("size")
+    first = F.array_join(F.slice(words(F.col("text")), F.lit(1), F.greatest("words", F.lit(1)).cast("int")), " ")
+    joined = joined.withColumn("text", F.when(cut, first).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        joined = joined.withColumn(
-            "n_chars", F.when(F.col("words") < F.col("size"), F.char_length("text")).otherwise(F.col("n_chars")).cast("bigint")
-        )
+        n_chars = F.when(cut, F.char_length("text")).otherwise(F.col("n_chars"))
+        joined = joined.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
     return joined.orderBy("finish", "__key", "turn").select(*docs.columns)
 
 

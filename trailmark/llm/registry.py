@@ -4,7 +4,18 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("mixing", "exact_dedup", "byte_bpe", "simhash_dedup", "fingerprints")
+import corpus_pipeline
+
+MODULES = (
+    "mixing",
+    "quality",
+    "toxicity",
+    "exact_dedup",
+    "byte_bpe",
+    "simhash_dedup",
+    "language_id",
+    "fingerprints",
+)
 
 
 def _modules():
@@ -12,7 +23,7 @@ def _modules():
 
 
 def queries():
-    return {m.QUERY: m.query for m in _modules()}
+    return {m.QUERY: m.query for m in _modules()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql():

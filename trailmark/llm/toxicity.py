@@ -25,7 +25,9 @@ from trailmark.llm.ftrl import Ftrl, csr, sampled, sigmoid
 #: Labelled rows the model is fitted on, at most about.
 TRAIN_ROWS = 16_000
 GRADES, EPOCHS, CUT = 4, 4, 0.5
-ALPHA, L1, L2 = 0.5, 2.0, 0.01
+ALPHA, L1, L2 = 0.15, 3.0, 0.01
+#: Step of the thresholds, and the least distance between two of them.
+STEP, GAP = 0.01, 0.5
 
 
 def features(text: str | None) -> np.ndarray:
@@ -83,7 +85,7 @@ def fit(
     y: np.ndarray, values: np.ndarray, offsets: np.ndarray, epochs: int = EPOCHS, alpha: float = ALPHA, l1: float = L1, seed: int = 7
 ) -> Model:
     """The model of labelled rows; without rows of both labels nothing is toxic."""
-    theta = np.arange(1.0, GRADES) + 1.0
+    theta = np.arange(1.0, GRADES) + 2.5
     if len(y) == 0 or y.min() == y.max():
         return Model(np.zeros(W.BUCKETS), theta + 20.0)
     grade = grades(y, values, offsets)
@@ -93,7 +95,7 @@ def fit(
     order = np.array(sorted(range(len(y)), key=lambda k: (keys[k], int(grade[k]))))
     rng = np.random.default_rng(seed)
     for epoch in range(epochs):
-        rate = 0.05 / (1 + epoch)
+        rate = STEP / (1 + epoch)
         for k in rng.permutation(order):
             ids, g = values[offsets[k] : offsets[k + 1]], grade[k]
             w = model.weights(ids)
@@ -103,10 +105,11 @@ def fit(
             model.update(ids, np.full(len(ids), a + b - 1.0), w)
             share = max(a - b, 1e-9)
             if g > 0:
-                theta[g - 1] -= rate * min(1.0, a * (1 - a) / share)
+                theta[g - 1] -= rate * min(5.0, a * (1 - a) / share)
             if g < GRADES - 1:
-                theta[g] += rate * min(1.0, b * (1 - b) / share)
-            theta.sort()
+                theta[g] += rate * min(5.0, b * (1 - b) / share)
+            spread = np.maximum(np.diff(theta), GAP)
+            theta = theta.mean() + np.cumsum(np.append(0.0, spread)) - np.append(0.0, spread).cumsum().mean()
     return Model(model.weights(), theta)
 
 
