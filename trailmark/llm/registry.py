@@ -9,6 +9,7 @@ import corpus_pipeline
 MODULES = (
     "mixing",
     "quality",
+    "substrings",
     "toxicity",
     "exact_dedup",
     "byte_bpe",
