@@ -14,6 +14,7 @@ MODULES = (
     "exact_dedup",
     "byte_bpe",
     "simhash_dedup",
+    "html_extract",
     "language_id",
     "fingerprints",
 )
