@@ -129,3 +129,61 @@ FROM unified WHERE content_id <> '' GROUP BY ALL""",
 )
 def hourly_query(spark, sf_dir):
     return hourly(_unified(spark, sf_dir))
+
+
+def daily(unified: DataFrame) -> DataFrame:
+    """Tumbling days per platform and content."""
+    start = F.window("rowtime", "1 day").start
+    return unified.groupBy(start.alias("start"), "platform_id", "content_id").agg(*_sums()).select(
+        F.date_format("start", "yyyy-MM-dd").alias("dt"), "platform_id", "content_id", *MEASURES
+    )
+
+
+def cumulated(unified: DataFrame, step_hours: int = 6) -> DataFrame:
+    """From each day's start to the end of every step of the day that follows an event, the sums so far.
+
+    Events are added up by step first; each step's sums then count for its own and the later steps of its day, so the
+    rows multiplied are steps and not events.
+    """
+    if 24 % step_hours:
+        raise ValueError("step_hours must divide the day")
+    day = F.date_trunc("day", "rowtime").cast("timestamp_ntz")
+    step = F.floor(F.hour("rowtime") / step_hours).cast("int")
+    steps = unified.groupBy(day.alias("window_start"), step.alias("step"), "platform_id", "content_id").agg(*_sums())
+    later = F.explode(F.sequence(F.col("step") + 1, F.lit(24 // step_hours))).alias("ends")
+    spread = steps.select("window_start", "platform_id", "content_id", *MEASURES, later)
+    sums = spread.groupBy("window_start", "ends", "platform_id", "content_id").agg(*_sums())
+    end = F.expr(f"window_start + make_dt_interval(0, ends * {step_hours})").cast("timestamp_ntz")
+    return sums.select("window_start", end.alias("window_end"), "platform_id", "content_id", *MEASURES)
+
+
+@register("a1_unified_events", f"WITH {_EVENTS_SQL} SELECT platform_id, content_id, rowtime, " + ", ".join(f"CAST({m} AS BIGINT) AS {m}" for m in MEASURES) + " FROM unified WHERE content_id <> ''")
+def unified_query(spark, sf_dir):
+    return _unified(spark, sf_dir)
+
+
+_DAILY_SQL = f"""SELECT strftime(date_trunc('day', rowtime), '%Y-%m-%d') AS dt, platform_id, content_id, {_SUM_SQL}
+FROM unified WHERE content_id <> '' GROUP BY ALL"""
+
+
+@register("a3_daily_content_metrics", f"WITH {_EVENTS_SQL} {_DAILY_SQL}")
+def daily_query(spark, sf_dir):
+    return daily(_unified(spark, sf_dir))
+
+
+@register(
+    "a4_cumulated_content_metrics",
+    f"""WITH {_EVENTS_SQL}, steps AS (
+  SELECT *, date_trunc('day', rowtime) AS day, hour(rowtime) // 6 AS step FROM unified WHERE content_id <> ''
+), spread AS (SELECT *, unnest(range(step + 1, 5)) AS ends FROM steps)
+SELECT CAST(day AS TIMESTAMP) AS window_start, CAST(day AS TIMESTAMP) + to_hours(CAST(ends * 6 AS INTEGER)) AS window_end,
+       platform_id, content_id, {_SUM_SQL} FROM spread GROUP BY day, ends, platform_id, content_id""",
+)
+def cumulated_query(spark, sf_dir):
+    return cumulated(_unified(spark, sf_dir))
+
+
+@register("a5_daily_csv_rows", f"WITH {_EVENTS_SQL}, d AS ({_DAILY_SQL}) SELECT dt AS date, * FROM d")
+def csv_query(spark, sf_dir):
+    rows = daily(_unified(spark, sf_dir))
+    return rows.select(F.col("dt").alias("date"), "*")
