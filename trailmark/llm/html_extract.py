@@ -109,12 +109,12 @@ def _is_noise(tag: str, attributes: str, inside: bool) -> tuple[bool, str]:
 
 
 class Block:
-    """A run of text between block boundaries: what it says, where, and whether its markup is noise."""
+    """A run of text between block boundaries, without what its markup calls noise: what it says and where."""
 
-    __slots__ = ("text", "path", "parent", "noise", "article", "main", "prose")
+    __slots__ = ("text", "path", "parent", "article", "main", "prose")
 
     def __init__(self, text: str, at: _Node, parent: int):
-        self.text, self.path, self.parent, self.noise = text, at.path, parent, at.noise
+        self.text, self.path, self.parent = text, at.path, parent
         self.article, self.main, self.prose = at.article, at.main, at.prose
 
 
@@ -136,7 +136,7 @@ def parse(html: str | None) -> tuple[list[Block], list[tuple[int, int]]]:
                 k = len(stack) - 1
                 while k and stack[k].tag not in _BLOCK:
                     k -= 1
-                blocks.append(Block(text, stack[-1], stack[k - 1].path if k else 0))
+                blocks.append(Block(text, stack[k], stack[k - 1].path if k else 0))
 
     def close(k: int) -> None:
         while len(stack) > k:
@@ -147,11 +147,13 @@ def parse(html: str | None) -> tuple[list[Block], list[tuple[int, int]]]:
     at, low = 0, None
     for m in iter_tokens(html):
         start, end, closing, tag, attributes, raw = m
-        if start > at:
+        if start > at and not stack[-1].noise:
             held.append(html[at:start])
         at = end
         if tag is None:
             continue
+        if tag in ("script", "style"):
+            continue
         if tag == "br":
             held.append(" ")
             continue
@@ -193,11 +195,10 @@ def parse(html: str | None) -> tuple[list[Block], list[tuple[int, int]]]:
         )
         stack.append(node)
         if raw is not None:
-            if tag not in ("script", "style"):
+            if not node.noise:
                 held.append(raw)
-            flush()
             close(len(stack) - 1)
-    if at < len(html):
+    if at < len(html) and not stack[-1].noise:
         held.append(html[at:])
     flush()
     close(1)
@@ -235,12 +236,11 @@ def iter_tokens(html: str) -> Iterator[tuple[int, int, bool, str | None, str, st
 
 def main_text(blocks: list[Block], removed: frozenset[int] | set[int] = frozenset()) -> str:
     """The main text of a page: its blocks by \\n, without noise and the paths removed for its host."""
-    good = [b for b in blocks if not b.noise]
     for within in ("article", "main"):
-        inside = [b for b in good if getattr(b, within)]
+        inside = [b for b in blocks if getattr(b, within)]
         if inside:
             return "\n".join(b.text for b in inside if b.prose or b.path not in removed)
-    return "\n".join(b.text for b in good if b.path not in removed)
+    return "\n".join(b.text for b in blocks if b.path not in removed)
 
 
 def host(url: Column) -> Column:
@@ -260,7 +260,7 @@ def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             name, key = hosts[k].as_py(), hash_of(page)
             blocks, styles = parse(page)
-            rows = {(True, b.path, b.parent, hash_of(b.text)) for b in blocks if not b.noise}
+            rows = {(True, b.path, b.parent, hash_of(b.text)) for b in blocks}
             rows |= {(False, path, 0, style) for path, style in styles}
             for text, path, parent, value in rows:
                 for column, item in zip(out, (name, key, text, path, parent, value), strict=True):

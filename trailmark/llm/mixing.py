@@ -158,18 +158,21 @@ def mix(docs: DataFrame) -> DataFrame:
         parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in ("doc_id", "source")]
         return F.md5(F.concat_ws("\x01", *parts, text_md5).cast("binary"))
 
-    plan = schedule(docs).select(key(F.col("text_md5")).alias("__key"), "finish", "turn", "words", "size")
+    plan = schedule(docs).select(
+        key(F.col("text_md5")).alias("__key"), *[F.col(c).alias(f"__{c}") for c in ("finish", "turn", "words", "size")]
+    )
     text_md5 = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    rows = docs.select(key(text_md5).alias("__key"), F.struct(*docs.columns).alias("row"))
-    once = rows.groupBy("__key").agg(F.first("row").alias("row"))
-    joined = once.join(plan, "__key").select("finish", "__key", "turn", "words", "size", "row.*")
-    cut = F.col("words") < F.col("size")
-    first = F.array_join(F.slice(words(F.col("text")), F.lit(1), F.greatest("words", F.lit(1)).cast("int")), " ")
-    joined = joined.withColumn("text", F.when(cut, first).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        n_chars = F.when(cut, F.char_length("text")).otherwise(F.col("n_chars"))
-        joined = joined.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
-    return joined.orderBy("finish", "__key", "turn").select(*docs.columns)
+    rows = docs.select(key(text_md5).alias("__key"), F.struct(*docs.columns).alias("__row"))
+    once = rows.groupBy("__key").agg(F.first("__row").alias("__row"))
+    joined = once.join(plan, "__key")
+    cut, whole = F.col("__words") < F.col("__size"), F.col("__row")["text"]
+    first = F.array_join(F.slice(words(whole), F.lit(1), F.greatest("__words", F.lit(1)).cast("int")), " ")
+    values = {c: F.col("__row")[c] for c in docs.columns}
+    values["text"] = F.when(cut, first).otherwise(whole)
+    if "n_chars" in values:
+        n_chars = F.when(cut, F.char_length(first)).otherwise(values["n_chars"])
+        values["n_chars"] = n_chars.cast(docs.schema["n_chars"].dataType)
+    return joined.orderBy("__finish", "__key", "__turn").select(*[v.alias(c) for c, v in values.items()])
 
 
 QUERY = "op1_mixing"
