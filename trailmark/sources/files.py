@@ -19,10 +19,10 @@ def until(df: DataFrame, ts: str, end: Column) -> DataFrame:
     return df.where(F.col(ts) < end)
 
 
-def stream(spark: SparkSession, path: str, schema: StructType | str, event_time: str, delay: str = "1 second", files: int = 1_000) -> DataFrame:
-    """A stream of parquet files with a watermark that trails event time."""
+def stream(spark: SparkSession, path: str, schema: StructType | str, event_time: str, delay: str | None = "1 second", files: int = 1_000) -> DataFrame:
+    """A stream of parquet files with a watermark that trails event time (none where the flow sets its own)."""
     df = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
-    return df.withWatermark(event_time, delay)
+    return df.withWatermark(event_time, delay) if delay else df
 
 
 def topic(group: str, name: str, label: str = "", dataset: str = "") -> str:
