@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 
 def blank(c: Column) -> Column:
@@ -41,7 +42,7 @@ def java_hash_code(c: Column) -> Column:
     return F.when(wrapped >= 1 << 31, wrapped - (1 << 32)).otherwise(wrapped).cast("int")
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(LongType())
 def _xxh64(text: pd.Series) -> pd.Series:
     import xxhash
 
