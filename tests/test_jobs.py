@@ -62,7 +62,7 @@ def test_streamed_as_of(spark, tmp_path):
     from trailmark.plans.flows import replay
     from trailmark.streaming import flows
 
-    rows = [("k", 3, False, None, "d3"), ("k", 4, True, "f4", None), ("k", 2, True, "f2", None), ("k", 5, False, None, "d5"), ("k", 10, True, "f10", None), ("z", 10**13, True, "end", None)]
+    rows = [("k", 3, False, None, "d3"), ("k", 4, True, "f4", None), ("k", 2, True, "f2", None), ("k", 5, False, None, "d5"), ("k", 10, True, "f10", None), ("z", 7 * 10**12, True, "end", None)]
     df = spark.createDataFrame(rows, "k string, ms bigint, is_fact boolean, fact string, version string").withColumn("ts", F.timestamp_millis("ms"))
     got = replay(df, flows.as_of_stream, "asof").collect()
     assert {(r.fact, r.version) for r in got} == {("f4", "d3"), ("f10", "d5")}

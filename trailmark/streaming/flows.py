@@ -36,7 +36,7 @@ def split_late(batch: DataFrame, event_time: str, watermark_ms: int) -> tuple[Da
 def sentinel(df: DataFrame, event_time: str, flag: str = "is_sentinel") -> DataFrame:
     """A copy of one row far in the future, flagged; fed at the end of a bounded replay, it moves the watermark past
     all windows. Consumers filter the flag."""
-    one = df.limit(1).withColumn(event_time, F.lit("9999-01-01 00:00:00").cast(df.schema[event_time].dataType))
+    one = df.limit(1).withColumn(event_time, F.lit("2200-01-01 00:00:00").cast(df.schema[event_time].dataType))
     return df.withColumn(flag, F.lit(False)).unionByName(one.withColumn(flag, F.lit(True)))
 
 
