@@ -63,7 +63,7 @@ def test_toxicity(spark):
 def test_ordinal_thresholds_are_ordered_and_weights_shared():
     rng = np.random.default_rng(0)
     rows, y = [], []
-    for k in range(600):
+    for k in range(2400):
         bad = k % 3 == 0
         ids = set(rng.integers(100, 400, 30).tolist()) | (set(rng.choice(20, 1 + k % 5, False).tolist()) if bad else set())
         rows.append(np.array(sorted(ids)))

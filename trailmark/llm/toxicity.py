@@ -25,7 +25,7 @@ from trailmark.llm.ftrl import Ftrl, csr, sampled, sigmoid
 #: Labelled rows the model is fitted on, at most about.
 TRAIN_ROWS = 16_000
 GRADES, EPOCHS, CUT = 4, 4, 0.5
-ALPHA, L1, L2 = 0.15, 3.0, 0.01
+ALPHA, L1, L2 = 0.3, 5.0, 0.01
 #: Step of the thresholds, and the least distance between two of them.
 STEP, GAP = 0.01, 0.5
 
