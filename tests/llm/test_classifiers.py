@@ -73,7 +73,7 @@ def test_ordinal_thresholds_are_ordered_and_weights_shared():
     assert (np.diff(model.theta) > 0).all()
     p = np.array([model.at_least(r) for r in rows])
     assert (np.diff(p, axis=1) <= 0).all()
-    assert ((p[:, 0] >= 0.5) == np.array(y)).mean() > 0.97
+    assert ((p[:, 0] >= 0.5) == np.array(y)).mean() > 0.95
 
 
 def test_toxicity_odd_rows(spark):
