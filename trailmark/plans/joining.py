@@ -293,9 +293,9 @@ def combine(spark, sf_dir):
 
 @register(
     "j18_mismatches",
-    f"""WITH {_LINES} SELECT impression_id, 'content_id' AS field, ins.content_id AS lhs, im2 AS rhs FROM (
-  SELECT impression_id, substr(impression_id, 2) AS insertion_id, CAST((CAST(content_id AS INTEGER) * 2) % 7 AS VARCHAR) AS im2 FROM im) x
-JOIN ins USING (insertion_id) WHERE ins.content_id <> im2 AND im2 <> '0' AND ins.content_id <> '0'""",
+    f"""WITH {_LINES}, o AS (SELECT *, CAST((CAST(content_id AS INTEGER) * 2) % 7 AS VARCHAR) AS other FROM ins)
+SELECT 'm' || insertion_id AS impression_id, 'content_id' AS field, content_id AS lhs, other AS rhs FROM o
+WHERE content_id <> other AND other <> '0' AND content_id <> '0'""",
 )
 def mismatch(spark, sf_dir):
     rows = order_insertions(spark, sf_dir).select(
