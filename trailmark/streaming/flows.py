@@ -80,9 +80,11 @@ def as_of_stream(events: DataFrame) -> DataFrame:
 
 
 def attribution_stream(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, before: str, after: str) -> DataFrame:
-    """Explicit attribution of two watermarked streams by id within a time bound (state is dropped beyond it)."""
-    l, r = left.alias("l"), right.alias("r")
-    return r.join(
-        l,
-        F.expr(f"l.{key} = r.{key} AND l.{left_time} >= r.{right_time} - INTERVAL {before} AND l.{left_time} <= r.{right_time} + INTERVAL {after}"),
+    """Explicit attribution of two watermarked streams: right rows whose id is on the left within a time bound (state
+    is dropped beyond it), with the left row's time."""
+    bound = (
+        f"l.{key} = r.{key} AND l.{left_time} >= r.{right_time} - INTERVAL {before}"
+        f" AND l.{left_time} <= r.{right_time} + INTERVAL {after}"
     )
+    joined = right.alias("r").join(left.alias("l"), F.expr(bound))
+    return joined.select("r.*", F.col(f"l.{left_time}").alias("left_time"))
