@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import byte_bpe, exact_dedup, mixing, simhash_dedup, toxicity
+from trailmark.llm import byte_bpe, exact_dedup, jaccard_dedup, mixing, toxicity
 from trailmark.llm.common import table, written
 
 #: Some stages have no equal in SQL (the toxicity model, XXH64 fingerprints, BPE merges).
@@ -28,8 +28,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies."""
-    return simhash_dedup.keep_one(docs)
+    """One document of each component of near copies: five-word shingles, Jaccard similarity 0.8 or more."""
+    return jaccard_dedup.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("exact dedup", drop_copies),
-    ("simhash near-dedup", drop_near_copies),
+    ("near-dedup", drop_near_copies),
     ("mixing", mix_sources),
     ("byte-level BPE", tokenise),
 ]
