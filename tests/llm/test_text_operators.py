@@ -49,6 +49,18 @@ def test_mix_gives_the_scheduled_words(spark):
     assert mixing.mix(frame(spark, rows).limit(0)).collect() == []
 
 
+def test_mix_takes_documents_whole(spark):
+    rnd = random.Random(6)
+    rows = [(i, "  ".join(f"w{i}_{k}" for k in range(rnd.randint(1, 90))), f"s{i % 7}") for i in range(60)]
+    rows += [(100 + k, f"one\t{k} " * (50 + 400 * k), f"lone{k}") for k in range(4)]
+    out = mixing.mix(frame(spark, rows)).collect()
+    assert {(r.doc_id, r.text, r.n_chars) for r in out} <= {(i, t, len(t)) for i, t, _ in rows}
+    targets = {r.source: r.target for r in mixing.placed(frame(spark, rows)).collect()}
+    for source, target in targets.items():
+        taken = sum(len(r.text.split()) for r in out if r.source == source)
+        assert target - 1 < taken < target + max(len(t.split()) for _, t, s in rows if s == source)
+
+
 def removed(rows, window):
     """Kept words per row, by brute force."""
     first = {}

@@ -3,8 +3,9 @@
 Each source is a queue of its documents in a shuffled order (by a hash of doc_id), played up to MAX_REPEATS times. A
 document's virtual finish time is the words its source has sent by its end, divided by the source's target. Sorted by
 that time over all sources, the queues advance in proportion to their targets, and the mix is cut where the budget is
-used up. As the targets add up to the budget, the cut is at virtual time 1: a document that ends before it is taken
-whole, and the one of each source that spans it gives its first words only.
+used up. As the targets add up to the budget, the cut is at virtual time 1, which is at `target` words of each source.
+A document that begins before the cut is taken whole, so a source passes its target by less than one document. Only the
+digest of the query splits the words of the document that spans the cut.
 
 The running totals of a source are sums over buckets of the shuffled order, then within a bucket, so that a source
 with any share of the rows is spread over many tasks.
@@ -144,35 +145,29 @@ def turns(rows: DataFrame, repeats: int = MAX_REPEATS) -> DataFrame:
 
 
 def schedule(docs: DataFrame, repeats: int = MAX_REPEATS) -> DataFrame:
-    """The mix in order of virtual finish time, cut at the budget: one row for each time a document is played."""
-    return turns(placed(docs, repeats), repeats).where("in_mix").orderBy("finish", "source", "doc_id", "turn")
+    """The mix in order of virtual finish time: one row for each time a document is played, with all its words."""
+    played = turns(placed(docs, repeats), repeats).where("in_mix").withColumn("words", F.col("size"))
+    return played.orderBy("finish", "source", "doc_id", "turn")
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """docs in the mix: a row for each time a document is played, in order of virtual finish time, with docs' own
-    columns; the one document of a source that the cut falls into keeps its first words only. Null sources and texts
-    as in `placed`. Rows that share id, source and text are played once for each of them, all with the other columns
-    of one of them."""
+    columns and whole texts. Null sources and texts as in `placed`. Rows that share id, source and text are played once
+    for each of them, all with the other columns of one of them."""
 
     def key(text_md5: Column) -> Column:
         parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in ("doc_id", "source")]
         return F.md5(F.concat_ws("\x01", *parts, text_md5).cast("binary"))
 
     plan = schedule(docs).select(
-        key(F.col("text_md5")).alias("__key"), *[F.col(c).alias(f"__{c}") for c in ("finish", "turn", "words", "size")]
+        key(F.col("text_md5")).alias("__key"), *[F.col(c).alias(f"__{c}") for c in ("finish", "turn")]
     )
     text_md5 = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
     rows = docs.select(key(text_md5).alias("__key"), F.struct(*docs.columns).alias("__row"))
     once = rows.groupBy("__key").agg(F.first("__row").alias("__row"))
     joined = once.join(plan, "__key")
-    cut, whole = F.col("__words") < F.col("__size"), F.col("__row")["text"]
-    first = F.array_join(F.slice(words(whole), F.lit(1), F.greatest("__words", F.lit(1)).cast("int")), " ")
-    values = {c: F.col("__row")[c] for c in docs.columns}
-    values["text"] = F.when(cut, first).otherwise(whole)
-    if "n_chars" in values:
-        n_chars = F.when(cut, F.char_length(first)).otherwise(values["n_chars"])
-        values["n_chars"] = n_chars.cast(docs.schema["n_chars"].dataType)
-    return joined.orderBy("__finish", "__key", "__turn").select(*[v.alias(c) for c, v in values.items()])
+    values = [F.col("__row")[c].alias(c) for c in docs.columns]
+    return joined.orderBy("__finish", "__key", "__turn").select(*values)
 
 
 QUERY = "op1_mixing"
