@@ -3,7 +3,7 @@
 N-grams of 1 to 3 characters of the lower-cased text (runs of characters that aren't letters are one blank) are hashed
 to buckets. Document frequencies are counted over all learnable documents. A feature's value is the n-gram's share of
 the text's n-grams times its inverse document frequency, so a score is the mean of idf-weighted coefficients over the
-whole text, and a long text is read in pieces of bounded size. Coefficients follow the regularised leader under an
+whole text; the n-grams of a long text are made a stretch at a time, each stretch with the characters that follow it. Coefficients follow the regularised leader under an
 elastic net; a part of the sample is set aside to fit the temperature by which the scores are calibrated.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmark.llm.common import table
-from trailmark.llm.ftrl import Ftrl, csr, fold, sampled
+from trailmark.llm.ftrl import Ftrl, csr, fold, gathered
 
 #: Documents the model is fitted on, at most about; all learnable documents count for the document frequencies.
 TRAIN_ROWS = 8_000
@@ -27,7 +27,8 @@ ALPHA, L1, L2 = 0.5, 0.01, 0.001
 BITS = 16
 BUCKETS = 1 << BITS
 ORDERS = (1, 2, 3)
-#: Characters read at a time, and the factor on values that keeps steps of the fit in scale.
+#: N-grams made at a time, which bounds memory and changes no result; the factor on values that keeps steps of the fit
+#: in scale.
 PIECE, SCALE = 500_000, 10.0
 UNKNOWN = "und"
 
@@ -40,12 +41,16 @@ def has_letter(text: str | None) -> bool:
 
 
 def pieces(text: str) -> Iterator[np.ndarray]:
-    """Buckets of all n-grams, a piece of the text at a time; pieces overlap so that no n-gram is lost or repeated."""
-    for at in range(0, len(text), PIECE):
-        plain = _OTHERS.sub(" ", text[at : at + PIECE].lower())
-        points = np.frombuffer((" " + plain + " ").encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.uint64)
+    """Buckets of all n-grams of a whole text with a blank at either end, at most PIECE of them at a time. A stretch
+    takes along the characters that its last n-grams reach into, so every n-gram comes once wherever stretches end."""
+    if not text:
+        return
+    plain = " " + _OTHERS.sub(" ", text.lower()) + " "
+    for at in range(0, len(plain), PIECE):
+        stretch = plain[at : at + PIECE + max(ORDERS) - 1].encode("utf-32-le", "replace")
+        points = np.frombuffer(stretch, dtype=np.uint32).astype(np.uint64)
         for n in ORDERS:
-            h = np.zeros(max(0, len(points) - n + 1), dtype=np.uint64)
+            h = np.zeros(max(0, min(PIECE, len(points) - n + 1)), dtype=np.uint64)
             for k in range(n):
                 h = h * np.uint64(0x100000001B3) + points[k : k + len(h)] + np.uint64(n)
             yield ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int64)
@@ -169,7 +174,7 @@ def trained(docs: DataFrame, rows: int = TRAIN_ROWS, held: int = 0, folds: int =
     for name in languages:
         cut = F.when(F.col("lang") == name, F.lit(min(1.0, share / sizes[name]) * 2.0**32)).otherwise(cut)
     chosen = learnable.where(part < cut).select("lang", "text")
-    got = chosen.mapInArrow(_counted, "lang string, ids array<int>, ns array<int>").toArrow()
+    got = gathered(chosen.mapInArrow(_counted, "lang string, ids array<int>, ns array<int>"), "ids")
     ids, offsets = csr(got.column("ids"))
     ns, _ = csr(got.column("ns"))
     index = {name: k for k, name in enumerate(languages)}
