@@ -5,9 +5,16 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trailmark.llm.common import written
+
+#: Features (of all sampled rows together) that the driver takes at most, about: under 200 MB at 12 bytes each with their
+#: copies. A sample with more is thinned by a hash of its rows.
+TRAIN_TERMS = 16_000_000
+
 
 class Ftrl:
     """Weights of `size` features (by `outputs` columns if given) under L1 and L2 penalties (elastic net)."""
@@ -45,6 +52,16 @@ def sampled(labelled: DataFrame, rows: int, seed: str) -> DataFrame:
     return labelled.where(F.crc32(F.concat(F.lit(seed), F.col("doc_id").cast("string")).cast("binary")) < cut)
 
 
+def gathered(featured: DataFrame, ids: str, most: int = TRAIN_TERMS) -> pa.Table:
+    """The feature rows of a sample, on the driver. They are bounded in number by the sample and in bytes by `most`, as
+    a row has no more different features than there are buckets, however long its text."""
+    rows = written(featured, "features")
+    terms = rows.agg(F.sum(F.size(ids))).first()[0] or 0
+    if terms > most:
+        rows = rows.where(F.abs(F.hash(ids) % 1_000_000) < math.floor(1_000_000 * most / terms))
+    return rows.toArrow()
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id's text, modulo folds; null ids fall in no fold."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from trailmark.llm import word_features as W
 from trailmark.llm.common import table
-from trailmark.llm.ftrl import Ftrl, csr, fold, sampled, sigmoid
+from trailmark.llm.ftrl import Ftrl, csr, fold, gathered, sampled, sigmoid
 
 #: Labelled rows the model is fitted on, at most about.
 TRAIN_ROWS = 12_000
@@ -94,7 +94,7 @@ def trained(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, held: in
     chosen = sampled(known.groupBy("doc_id").agg(F.max("quality").alias("label")), rows, "quality")
     # about `rows` rows of two integers: small by the bound
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("label").cast("int"), "text")
-    got = joined.mapInArrow(_featured, "label int, ids array<int>, xs array<float>").toArrow()
+    got = gathered(joined.mapInArrow(_featured, "label int, ids array<int>, xs array<float>"), "ids")
     if got.num_rows == 0:
         return np.zeros(SIZE), 0.0
     ids, offsets = csr(got.column("ids"))
