@@ -54,6 +54,25 @@ def test_exact_dedup_repeated_rows_and_empty(spark):
     assert exact_dedup.exact_dedup(frame(spark, rows).limit(0)).collect() == []
 
 
+def test_rows_that_differ_elsewhere(spark):
+    """Of rows with one id and text, whatever their other columns, one stays, the same in any order."""
+    rows = [(1, "a b", "s"), (1, "a b", "t"), (1, "a  b", "s"), (1, "a b", None), (2, "a b", "s"), (None, "c", "s"), (None, "c", "t")]
+    for keep in (exact_dedup.keep_first, simhash_dedup.keep_one):
+        got = [keep(spark.createDataFrame(r, "doc_id bigint, text string, source string")).collect() for r in (rows, rows[::-1])]
+        assert sorted(map(repr, got[0])) == sorted(map(repr, got[1]))
+        assert sorted(str(r.doc_id) for r in got[0]) == ["1", "None"]
+
+
+def test_keep_one_goes_by_component(spark):
+    """Unrelated documents that share an id all stay; near copies without ids are one component."""
+    base = " ".join(f"w{i}" for i in range(400))
+    rows = [(1, "alpha beta gamma delta", "s"), (1, "one two three four", "s"), (2, "five six seven", "s")]
+    rows += [(None, base + f" tail{k}", "s") for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    expected = len({r.fingerprint for r in simhash_dedup.near_components(docs.where("doc_id IS NOT NULL")).collect()}) + 1
+    assert len(simhash_dedup.keep_one(docs).collect()) == expected == 4
+
+
 def fingerprint(text):
     t = (text or "").translate({c: c + 32 for c in range(65, 91)})
     words = re.findall(r"[^\x20\x09-\x0D]+", t)

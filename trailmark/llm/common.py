@@ -25,6 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         where = known.get() if known.isDefined() else None
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="trailmark-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -43,6 +45,21 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def row_key(docs: DataFrame) -> Column:
+    """128 bits that tell the rows of docs apart by all their columns; only rows repeated as a whole share them."""
+    whole = [F.coalesce("text", F.lit("\x00null")), F.to_json(F.struct(*[f"`{c}`" for c in docs.columns if c.lower() != "text"]))]
+    return F.concat_ws(":", *[F.hex(F.xxhash64(F.lit(k), *whole)) for k in range(2)])
+
+
+def one_of_each(docs: DataFrame, mark: Column, stay: DataFrame) -> DataFrame:
+    """The rows of docs whose mark is in stay (column __mark), one for each mark: that with the least row key, so that
+    a rerun gives the same. Minima and repeats are combined before the shuffle."""
+    marked = docs.withColumns({"__mark": mark, "__key": row_key(docs)})
+    least = marked.select("__mark", "__key").join(stay, "__mark", "left_semi").groupBy("__mark").agg(F.min("__key").alias("__key"))
+    kept = marked.join(least, ["__mark", "__key"], "left_semi")
+    return kept.dropDuplicates(["__mark", "__key"]).drop("__mark", "__key")
+
+
 def words(text: Column) -> Column:
     """Array of the maximal runs of characters other than the six spaces; none for null."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm.common import SPACE_RUN, table, written
+from trailmark.llm.common import SPACE_RUN, row_key, table, written
 
 #: Bytes of a block.
 BLOCK = 4096
@@ -100,19 +100,15 @@ def identities(texts: DataFrame, block: int = BLOCK, bits: int = 64) -> DataFram
     )
 
 
-def exact_dedup(docs: DataFrame, block: int = BLOCK, bits: int = 64) -> DataFrame:
-    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
-
-    Null texts count as empty and are equal to texts that are empty after normalisation. Of equal texts the row with
-    the smallest doc_id stays (null ids last); of repeated rows with that id exactly one stays. Other columns of docs
-    are ignored, whatever their names. An empty table gives no rows.
-    """
-    named = identities(docs.select("doc_id", normalised(F.col("text")).alias("norm")), block, bits)
-    named = written(named, "identities")
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "id")
+def _judged(rows: DataFrame, block: int, bits: int) -> DataFrame:
+    """rows (doc_id, tie, norm) with keep_id, group_size, kept and text_sha256 for norm; of rows with the least doc_id
+    the one with the least tie is kept."""
+    named = written(identities(rows, block, bits), "identities")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie", "id")
     best = named.groupBy("n_blocks", "name").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("group_size"))
     return named.join(best, ["n_blocks", "name"]).select(
         "doc_id",
+        "tie",
         F.col("best.doc_id").alias("keep_id"),
         "group_size",
         (F.col("id") == F.col("best.id")).alias("kept"),
@@ -120,12 +116,26 @@ def exact_dedup(docs: DataFrame, block: int = BLOCK, bits: int = 64) -> DataFram
     )
 
 
+def exact_dedup(docs: DataFrame, block: int = BLOCK, bits: int = 64) -> DataFrame:
+    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
+
+    Null texts count as empty and are equal to texts that are empty after normalisation. Of equal texts the row with
+    the smallest doc_id stays (null ids last); of repeated rows with that id exactly one stays. Other columns of docs
+    are ignored, whatever their names. An empty table gives no rows.
+    """
+    rows = docs.select("doc_id", F.lit("").alias("tie"), normalised(F.col("text")).alias("norm"))
+    return _judged(rows, block, bits).drop("tie")
+
+
 def keep_first(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The rows of docs that exact_dedup keeps, with docs' own columns; rows repeated as a whole stay once."""
-    mark = lambda sha: F.concat_ws(":", sha, F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))
-    stay = exact_dedup(docs, block).where("kept").select(mark(F.col("text_sha256")).alias("__mark"))
-    marked = docs.withColumn("__mark", mark(F.sha2(normalised(F.col("text")).cast("binary"), 256)))
-    return marked.join(stay, "__mark", "left_semi").dropDuplicates(["__mark"]).drop("__mark")
+    """One row of docs for each different text, with docs' own columns: that with the smallest doc_id (null ids last).
+    Of rows with that id and text, which may differ in other columns or in white space, the one with the least row key
+    stays, so a rerun keeps the same. Null and blank texts are equal; an empty table gives no rows."""
+    rows = docs.select("doc_id", row_key(docs).alias("tie"), normalised(F.col("text")).alias("norm"))
+    stay = _judged(rows, block, 64).where("kept").select(F.col("tie").alias("__key"))
+    # only rows repeated as a whole share a key
+    marked = docs.withColumn("__key", row_key(docs))
+    return marked.join(stay, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
 
 
 QUERY = "op5_exact_dedup"

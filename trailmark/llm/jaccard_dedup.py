@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.llm.common import ascii_lower, words, written
+from trailmark.llm.common import ascii_lower, one_of_each, words, written
 from trailmark.llm.components import components
 
 #: Words of a shingle, and the least similarity of a link as a ratio.
@@ -177,7 +177,8 @@ def keep_one(
     docs: DataFrame, span: int = SPAN, least: tuple[int, int] = LEAST, bands: int = BANDS, depth: int = DEPTH
 ) -> DataFrame:
     """The rows of docs with one document of each component left: the one with the least doc_id (null ids last, then
-    by text key). Null and blank texts are equal. Rows repeated as a whole stay once."""
+    by text key; of rows with that id and text the one with the least row key, so a rerun keeps the same). Null and
+    blank texts are equal. An empty table gives no rows."""
     keyed = docs.select("doc_id", _text_key(F.col("text")).alias("text_key"), _word_hashes(F.col("text")).alias("w"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = written(
@@ -209,5 +210,4 @@ def keep_one(
         .select("x.*")
         .select(mark(F.col("text_key")).alias("__mark"))
     )
-    marked = docs.withColumn("__mark", mark(_text_key(F.col("text"))))
-    return marked.join(stay, "__mark", "left_semi").dropDuplicates(["__mark"]).drop("__mark")
+    return one_of_each(docs, mark(_text_key(F.col("text"))), stay)

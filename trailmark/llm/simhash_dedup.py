@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmark.llm import votes
-from trailmark.llm.common import ascii_lower, table, words, written
+from trailmark.llm.common import ascii_lower, one_of_each, table, words, written
 from trailmark.llm.components import components
 
 #: Words of a shingle and differing bits of a link, as the contract of the query has them.
@@ -136,6 +136,19 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return placed.mapInArrow(_bucket_links(radius), "u bigint, v bigint").distinct()
 
 
+def _placed(rows: DataFrame, radius: int) -> DataFrame:
+    """(fp, root, component_id) for each different fingerprint of rows (doc_id, fp): its component's least fingerprint
+    and least doc_id."""
+    heads = written(rows.groupBy("fp").agg(F.min("doc_id").alias("head")), "distinct-fingerprints")
+    roots = components(links(heads.select("fp"), radius))
+    placed = heads.join(roots, heads.fp == roots.u, "left").select(
+        "fp", "head", F.coalesce("root", "fp").alias("root")
+    )
+    placed = written(placed, "placed")
+    least = placed.groupBy("root").agg(F.min("head").alias("component_id"))
+    return placed.join(least, "root").select("fp", "root", "component_id")
+
+
 def near_components(docs: DataFrame, span: int = SPAN, radius: int = RADIUS) -> DataFrame:
     """One row per row of docs: doc_id, text_key, fingerprint (16 hex digits), component_id.
 
@@ -144,35 +157,22 @@ def near_components(docs: DataFrame, span: int = SPAN, radius: int = RADIUS) ->
     equal results each. Other columns of docs are ignored; an empty table gives no rows.
     """
     rows = written(fingerprints(docs, span), "fingerprints")
-    heads = written(rows.groupBy("fp").agg(F.min("doc_id").alias("head")), "distinct-fingerprints")
-    roots = components(links(heads.select("fp"), radius))
-    placed = heads.join(roots, heads.fp == roots.u, "left").select(
-        "fp", "head", F.coalesce("root", "fp").alias("root")
-    )
-    placed = written(placed, "placed")
-    least = placed.groupBy("root").agg(F.min("head").alias("component_id"))
-    named = placed.join(least, "root").select("fp", "component_id")
     return (
-        rows.join(named, "fp")
+        rows.join(_placed(rows, radius).drop("root"), "fp")
         .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
         .select("doc_id", "text_key", votes.hex64(F.col("fp")).alias("fingerprint"), "component_id")
     )
 
 
 def keep_one(docs: DataFrame, span: int = SPAN, radius: int = RADIUS) -> DataFrame:
-    """The rows of docs with one document of each component left: the one whose doc_id names it (if all ids of a
-    component are null, the one with the least text key). Rows repeated as a whole stay once."""
-    found = near_components(docs, span, radius)
+    """The rows of docs with one document of each component left, with docs' own columns: the one with the least doc_id
+    (null ids last, then by text key; of rows with that id and text the one with the least row key, so a rerun keeps
+    the same). Unrelated documents that share an id are components of their own. Odd rows as in `near_components`."""
+    rows = written(fingerprints(docs, span), "fingerprints")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    best = rows.join(_placed(rows, radius), "fp").groupBy("root").agg(F.min(rank).alias("x")).select("x.*")
     mark = lambda key: F.concat_ws(":", F.col("doc_id").cast("string"), key)
-    stay = (
-        found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")))
-        .agg(F.min(F.struct("doc_id", "text_key")).alias("x"))
-        .select("x.*")
-        .select(mark(F.col("text_key")).alias("__mark"))
-    )
-    marked = docs.withColumn("__mark", mark(_text_key(F.col("text"))))
-    return marked.join(stay, "__mark", "left_semi").dropDuplicates(["__mark"]).drop("__mark")
+    return one_of_each(docs, mark(_text_key(F.col("text"))), best.select(mark(F.col("text_key")).alias("__mark")))
 
 
 QUERY = "op7_simhash_dedup"
