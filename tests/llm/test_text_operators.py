@@ -19,25 +19,31 @@ def test_mixing_meets_its_targets(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 7)
     rnd = random.Random(2)
     rows = [(i, " ".join(["w"] * rnd.randint(0, 60)), rnd.choice(["a", "a", "a", "b", "c", None])) for i in range(200)]
-    rows += [(300, None, "a"), (301, "", "d"), (None, "q r", "b"), (5, "q r s", "b"), (5, "q r s", "b")]
-    sized = mixing.turns(mixing.placed(frame(spark, rows))).collect()
+    rows += [(300, None, "a"), (301, "", "d"), (None, "q r", "b"), (5, "q r s", "b"), (5, "q r s", "b"), (302, "z " * 40_000, "e")]
     total = sum(len((t or "").split()) for _, t, _ in rows)
-    targets = {r.source: r.target for r in sized}
+
+    def digest(rows):
+        placed, n, budget = mixing.placed(frame(spark, rows))
+        return placed.collect(), mixing.cut(mixing.packets(placed), n, budget).collect(), budget
+
+    placed, sent, budget = digest(rows)
+    assert len(placed) == len(rows) and budget == 3 * total // 2
+    targets = {r.source: r.target for r in placed}
     assert abs(sum(targets.values()) - 1.5 * total) < 1e-6
-    taken = {}
-    for r in sized:
-        taken[r.source] = taken.get(r.source, 0) + r.words
+    # the order and the cut by brute force
+    line = sorted(sent, key=lambda r: (r.finish, r.source is None, r.source or "", r.turn, r.packet, r.bucket, r.seq))
+    ahead, per_turn = 0, {}
+    for r in line:
+        assert r.taken == max(0, min(r.n_words, budget - ahead))
+        ahead += r.n_words
+        key = (r.source, r.bucket, r.seq, r.turn)
+        per_turn[key] = per_turn.get(key, 0) + r.taken
+        assert per_turn[key] <= r.size
+    assert sum(r.taken for r in sent) == budget
     for source, target in targets.items():
-        assert abs(taken[source] - target) < 1
-    per_doc = {}
-    for r in sized:
-        key = (r.source, r.bucket, r.seq)
-        per_doc[key] = per_doc.get(key, 0) + r.words
-        assert r.words <= r.size
-    assert len(per_doc) == len(rows)
-    again = mixing.turns(mixing.placed(frame(spark, rows[::-1]))).collect()
-    key = lambda r: (str(r.doc_id), str(r.source), r.turn, r.words)
-    assert sorted(map(key, again)) == sorted(map(key, sized))
+        assert abs(sum(r.taken for r in sent if r.source == source) - target) < len(targets)
+    key = lambda r: (str(r.doc_id), str(r.source), r.turn, r.packet, r.taken)
+    assert sorted(map(key, digest(rows[::-1])[1])) == sorted(map(key, sent))
 
 
 def test_mix_gives_the_scheduled_words(spark):
@@ -45,17 +51,23 @@ def test_mix_gives_the_scheduled_words(spark):
     out = mixing.mix(frame(spark, rows)).collect()
     plan = mixing.schedule(frame(spark, rows)).collect()
     assert len(out) == len(plan)
-    assert sum(len(r.text.split()) for r in out) == sum(r.words for r in plan)
+    assert sum(len(r.text.split()) for r in out) == sum(r.n_words for r in plan)
     assert mixing.mix(frame(spark, rows).limit(0)).collect() == []
 
 
+def test_mix_keeps_the_columns_of_every_row(spark):
+    rows = [(1, "a b c", "en", "s", 5, "x", 1, 1), (1, "a b c", "de", "s", 5, "x", 1, 1), (1, "a b c", None, "s", 5, "x", 1, 1)]
+    out = mixing.mix(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.lang for r in out} == {"en", "de", None}
+
+
 def test_mix_takes_documents_whole(spark):
     rnd = random.Random(6)
     rows = [(i, "  ".join(f"w{i}_{k}" for k in range(rnd.randint(1, 90))), f"s{i % 7}") for i in range(60)]
     rows += [(100 + k, f"one\t{k} " * (50 + 400 * k), f"lone{k}") for k in range(4)]
     out = mixing.mix(frame(spark, rows)).collect()
     assert {(r.doc_id, r.text, r.n_chars) for r in out} <= {(i, t, len(t)) for i, t, _ in rows}
-    targets = {r.source: r.target for r in mixing.placed(frame(spark, rows)).collect()}
+    targets = {r.source: r.target for r in mixing.placed(frame(spark, rows))[0].collect()}
     for source, target in targets.items():
         taken = sum(len(r.text.split()) for r in out if r.source == source)
         assert target - 1 < taken < target + max(len(t.split()) for _, t, s in rows if s == source)

@@ -1,35 +1,40 @@
 """Mixing of sources to target weights by weighted fair queueing.
 
-Each source is a queue of its documents in a shuffled order (by a hash of doc_id), played up to MAX_REPEATS times. A
-document's virtual finish time is the words its source has sent by its end, divided by the source's target. Sorted by
-that time over all sources, the queues advance in proportion to their targets, and the mix is cut where the budget is
-used up. As the targets add up to the budget, the cut is at virtual time 1, which is at `target` words of each source.
-A document that begins before the cut is taken whole, so a source passes its target by less than one document. Only the
-digest of the query splits the words of the document that spans the cut.
-
-The running totals of a source are sums over buckets of the shuffled order, then within a bucket, so that a source
-with any share of the rows is spread over many tasks.
+Each source is a queue of its documents in a shuffled order (by a hash of doc_id), played up to MAX_REPEATS times; a
+time that a document is played is a turn. A turn's virtual finish time is the words its source has sent by its end,
+divided by the source's target. The turns of all sources are put in order of that time over ranges of it, with a
+running total of their words, and the mix is cut where the total reaches the budget. In that order the queues advance
+in proportion to their targets, so at the cut every source has sent about its target.
+
+A turn during which its source reaches its target is two packets in that order, the words up to the target and the
+rest, so that a very long document neither keeps a small source from its target nor carries it far beyond. The digest
+of the query counts the words before the cut; `mix` takes the documents of which words are before it whole.
+
+Running totals are sums over buckets (of the shuffled order within a source, then of virtual time) and sums within a
+bucket, so that a source with any share of the rows is spread over many tasks.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trailmark.llm.common import table, words, written
+from trailmark.llm.common import row_key, table, words, written
 
 #: Weights of the sources in code point order, repeating; budget as a ratio of all words; how often a document may be
 #: taken.
 WEIGHTS = (3, 1, 2)
 BUDGET = (3, 2)
 MAX_REPEATS = 2
-#: About so many rows of a source share a bucket of the shuffled order.
-BUCKET_ROWS = 20_000
+#: About so many rows share a bucket, or the square root of all rows if that is more: then neither the rows of a bucket
+#: nor the buckets, whose sums one task puts in order, grow faster than that.
+BUCKET_ROWS = 1_000
 
 
 def _sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, shuffle) for each row: the words of the text and the place in the shuffled order."""
-    text_hash = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    """(doc_id, source, size, shuffle, row_key) for each row: the words of the text and the place in the shuffled order."""
     return docs.select(
         "doc_id",
         F.col("source").cast("string").alias("source"),
@@ -37,7 +42,7 @@ def _sizes(docs: DataFrame) -> DataFrame:
         F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).cast("binary")).alias(
             "shuffle"
         ),
-        text_hash.alias("text_md5"),
+        row_key(docs).alias("row_key"),
     )
 
 
@@ -82,13 +87,17 @@ def targets(sources: DataFrame, weights=WEIGHTS, budget=BUDGET, repeats: int = M
     )
 
 
-def _positions(sized: DataFrame, by_source: DataFrame) -> DataFrame:
+def _bucket_rows(rows: int) -> int:
+    return max(BUCKET_ROWS, math.isqrt(rows))
+
+
+def _positions(sized: DataFrame, by_source: DataFrame, bucket_rows: int) -> DataFrame:
     """Adds `start`, the words of the source before the document in the shuffled order, and the source's figures."""
     named = by_source.select(F.col("source").alias("__s"), "source_size", "target", "rows")
     rows = sized.join(named, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     # the leading 48 bits of the shuffle, as a share of the source's buckets
     part = F.conv(F.substring("shuffle", 1, 12), 16, 10).cast("bigint").cast("double") / F.lit(float(1 << 48))
-    rows = rows.withColumn("bucket", F.floor(part * F.ceil(F.col("rows") / BUCKET_ROWS)).cast("bigint"))
+    rows = rows.withColumn("bucket", F.floor(part * F.ceil(F.col("rows") / bucket_rows)).cast("bigint"))
     sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
     line = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(
@@ -97,7 +106,7 @@ def _positions(sized: DataFrame, by_source: DataFrame) -> DataFrame:
     )
     inside = (
         Window.partitionBy("source", "bucket")
-        .orderBy("shuffle", "doc_id", "size", "text_md5")
+        .orderBy("shuffle", "doc_id", "size", "row_key")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     rows = rows.withColumns(
@@ -110,64 +119,82 @@ def _positions(sized: DataFrame, by_source: DataFrame) -> DataFrame:
     return joined.withColumn("start", F.col("before") + F.col("within")).drop("__s", "__b", "before", "within")
 
 
-def placed(docs: DataFrame, repeats: int = MAX_REPEATS) -> DataFrame:
-    """Each row of docs with its place: doc_id, text_md5, source, size, source_size, target, start, bucket and seq.
+def placed(docs: DataFrame, repeats: int = MAX_REPEATS, budget=BUDGET) -> tuple[DataFrame, int, int]:
+    """(rows, their number, the budget in words): each row of docs with its place: doc_id, row_key, source, size,
+    source_size, target, start, bucket and seq (which tell rows apart).
 
     Null sources are one source, the last in order; null texts have no words. Rows with equal ids are told apart by
-    their sizes and texts. Other columns are ignored, whatever their names.
+    all their columns.
     """
     sized = written(_sizes(docs), "sizes")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
-    return _positions(sized, targets(sources, repeats=repeats))
+    all_ = sources.agg(F.sum("source_size").alias("words"), F.sum("rows").alias("rows")).first()
+    n = all_["rows"] or 0
+    rows = _positions(sized, targets(sources, budget=budget, repeats=repeats), _bucket_rows(n))
+    return rows, n, (all_["words"] or 0) * budget[0] // budget[1]
 
 
-def _taken(start: Column, size: Column, target: Column) -> Column:
-    """Words of [start, start + size) before the cut at virtual time 1, which is at `target` words of the source."""
-    return F.greatest(F.least(F.floor(target) - start, size), F.lit(0)).cast("bigint")
+def packets(rows: DataFrame, repeats: int = MAX_REPEATS) -> DataFrame:
+    """The packets of every turn that begins before virtual time 2, with the columns of rows, turn, packet (0 or 1),
+    begin, n_words and the virtual finish time. The cut comes about virtual time 1, as the targets add up to the budget
+    and what is left over of it is under one word for each source. Documents without words have none."""
+    begin = F.col("start") + F.col("turn") * F.col("source_size")
+    upto = F.greatest(F.least(F.floor("target") - F.col("begin"), F.col("size")), F.lit(0)).cast("bigint")
+    both = F.array(
+        F.struct(F.lit(0).alias("packet"), F.col("begin"), upto.alias("n_words")),
+        F.struct(F.lit(1).alias("packet"), (F.col("begin") + upto).alias("begin"), (F.col("size") - upto).alias("n_words")),
+    )
+    played = rows.withColumn("turn", F.explode(F.array(*[F.lit(k) for k in range(repeats)]))).withColumn("begin", begin)
+    played = played.where((F.col("size") > 0) & (F.col("begin") < 2 * F.col("target")))
+    each = played.withColumn("x", F.explode(both)).drop("begin").select("*", "x.*").drop("x").where("n_words > 0")
+    return each.withColumn("finish", (F.col("begin") + F.col("n_words")).cast("double") / F.col("target"))
 
 
-def turns(rows: DataFrame, repeats: int = MAX_REPEATS) -> DataFrame:
-    """Every turn of every placed row: its columns, turn, virtual finish time, the words it gives before the cut
-    and whether it is in the mix (a document without words is, once, where its place is before the cut)."""
-    begin = F.col("start") + F.col("turn") * F.col("source_size")
-    played = rows.withColumn("turn", F.explode(F.array(*[F.lit(k) for k in range(repeats)])))
-    return played.withColumns(
-        {
-            "finish": F.when(
-                F.col("target") > 0, (begin + F.col("size")).cast("double") / F.col("target")
-            ).otherwise(F.lit(0.0)),
-            "words": _taken(begin, F.col("size"), F.col("target")),
-        }
-    ).withColumn(
-        "in_mix",
-        (F.col("words") > 0) | ((F.col("size") == 0) & (F.col("turn") == 0) & (F.col("start") <= F.col("target"))),
+def cut(sent: DataFrame, rows: int, budget: int) -> DataFrame:
+    """packets with `taken`, their words before the cut: all packets in order of virtual finish time (ties by source,
+    turn and place), added up, end at the budget."""
+    ranges = max(1, math.ceil(rows / _bucket_rows(rows)))
+    sent = sent.withColumn("range_no", F.floor(F.least("finish", F.lit(2.0)) * F.lit(ranges)).cast("bigint"))
+    sums = sent.groupBy("range_no").agg(F.sum("n_words").alias("in_range"))
+    line = Window.partitionBy(F.lit(0)).orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("range_no", F.coalesce(F.sum("in_range").over(line), F.lit(0)).alias("ahead"))
+    inside = (
+        Window.partitionBy("range_no")
+        .orderBy("finish", F.col("source").asc_nulls_last(), "turn", "packet", "bucket", "seq")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
+    sent = sent.withColumn("within", F.coalesce(F.sum("n_words").over(inside), F.lit(0))).join(sums, "range_no")
+    left = F.lit(budget).cast("bigint") - F.col("ahead") - F.col("within")
+    taken = F.greatest(F.least(F.col("n_words"), left), F.lit(0).cast("bigint"))
+    return sent.withColumn("taken", taken).drop("range_no", "ahead", "within")
 
 
-def schedule(docs: DataFrame, repeats: int = MAX_REPEATS) -> DataFrame:
-    """The mix in order of virtual finish time: one row for each time a document is played, with all its words."""
-    played = turns(placed(docs, repeats), repeats).where("in_mix").withColumn("words", F.col("size"))
-    return played.orderBy("finish", "source", "doc_id", "turn")
+def schedule(docs: DataFrame, repeats: int = MAX_REPEATS, budget=BUDGET) -> DataFrame:
+    """The mix in order of virtual finish time: (row_key, doc_id, source, turn, finish, n_words, taken) for each time a
+    document is in it, with all its words and those before the cut. Of documents without words those that come before
+    their source's target are in it, once."""
+    rows, n, words_ = placed(docs, repeats, budget)
+    found = cut(packets(rows, repeats), n, words_).where("taken > 0 AND begin < target")
+    keys = ["source", "bucket", "seq", "turn", "doc_id", "row_key"]
+    played = found.groupBy(*keys).agg(
+        F.max("finish").alias("finish"), F.max("size").alias("n_words"), F.sum("taken").alias("taken")
+    )
+    empty = rows.where("size = 0 AND start <= target").select(
+        "source", "bucket", "seq", F.lit(0).alias("turn"), "doc_id", "row_key",
+        F.when(F.col("target") > 0, F.col("start") / F.col("target")).otherwise(F.lit(0.0)).alias("finish"),
+        F.col("size").alias("n_words"), F.col("size").alias("taken"),
+    )
+    return played.unionByName(empty).orderBy("finish", F.col("source").asc_nulls_last(), "turn", "bucket", "seq")
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """docs in the mix: a row for each time a document is played, in order of virtual finish time, with docs' own
-    columns and whole texts. Null sources and texts as in `placed`. Rows that share id, source and text are played once
-    for each of them, all with the other columns of one of them."""
-
-    def key(text_md5: Column) -> Column:
-        parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in ("doc_id", "source")]
-        return F.md5(F.concat_ws("\x01", *parts, text_md5).cast("binary"))
-
-    plan = schedule(docs).select(
-        key(F.col("text_md5")).alias("__key"), *[F.col(c).alias(f"__{c}") for c in ("finish", "turn")]
-    )
-    text_md5 = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    rows = docs.select(key(text_md5).alias("__key"), F.struct(*docs.columns).alias("__row"))
-    once = rows.groupBy("__key").agg(F.first("__row").alias("__row"))
-    joined = once.join(plan, "__key")
-    values = [F.col("__row")[c].alias(c) for c in docs.columns]
-    return joined.orderBy("__finish", "__key", "__turn").select(*values)
+    columns and whole texts. A source passes its target by less than one document. Null sources and texts as in
+    `placed`; rows repeated as a whole are played each for itself; an empty table gives no rows."""
+    plan = schedule(docs).select(F.col("row_key").alias("__key"), *[F.col(c).alias(f"__{c}") for c in ("finish", "turn")])
+    # rows repeated as a whole share a key, and only they do
+    once = docs.withColumn("__key", row_key(docs)).dropDuplicates(["__key"])
+    return once.join(plan, "__key").orderBy("__finish", "__key", "__turn").select(*[f"`{c}`" for c in docs.columns])
 
 
 QUERY = "op1_mixing"
@@ -196,23 +223,40 @@ goal AS (
                    / CAST(2 * sum(CASE WHEN NOT is_full THEN weight END) OVER () AS DOUBLE) END AS target
   FROM filled
 ), placed AS (
-  SELECT s.doc_id, s.size, g.source_size, g.target,
+  SELECT s.doc_id, s.source, s.shuffle, s.size, g.source_size, g.target,
          coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.shuffle, s.doc_id
                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source
+), turns AS (
+  SELECT *, start + turn * source_size AS turn_begin,
+         greatest(least(floor(target) - (start + turn * source_size), size), 0) AS upto
+  FROM placed, (SELECT unnest([0, 1]) AS turn) WHERE size > 0
+), packets AS (
+  SELECT *, turn_begin AS begin, upto AS n_words, 0 AS packet FROM turns WHERE upto > 0
+  UNION ALL
+  SELECT *, turn_begin + upto, size - upto, 1 FROM turns WHERE size > upto
+), sent AS (
+  SELECT doc_id, n_words,
+         coalesce(sum(n_words) OVER (ORDER BY CAST(begin + n_words AS DOUBLE) / target, source NULLS LAST, turn, packet,
+                                              shuffle, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  FROM packets
+), taken AS (
+  SELECT doc_id, sum(greatest(least(n_words, (SELECT sum(size) * 3 // 2 FROM sized) - ahead), 0)) AS taken
+  FROM sent GROUP BY doc_id
 )
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
-       CAST(greatest(least(floor(target) - start, size), 0)
-            + greatest(least(floor(target) - start - source_size, size), 0) AS BIGINT) AS taken
-FROM placed
+SELECT p.doc_id, CAST(p.size AS BIGINT) AS size, p.source_size, p.target, CAST(coalesce(t.taken, 0) AS BIGINT) AS taken
+FROM placed p LEFT JOIN taken t ON p.doc_id IS NOT DISTINCT FROM t.doc_id
 """
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The digest of the schedule: one row per document, the words of all its turns added up."""
-    rows = turns(placed(table(spark, sf_dir, "documents")))
-    return (
-        rows.groupBy("source", "bucket", "seq", "doc_id", "size", "source_size", "target")
-        .agg(F.sum("words").alias("taken"))
-        .select("doc_id", "size", "source_size", "target", "taken")
+    """The digest of the cut: one row per document, the words of all its packets before it added up."""
+    rows, n, words_ = placed(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    rows = written(rows.drop("shuffle", "row_key"), "placed")
+    taken = cut(packets(rows), n, words_).where("taken > 0")
+    keys = ["source", "bucket", "seq"]
+    taken = taken.groupBy(*keys).agg(F.sum("taken").alias("taken")).withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return rows.join(taken, same, "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken")
     )
