@@ -1,12 +1,14 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-A pre-token is a linked list of byte positions. Every adjacent pair that has a merge rank waits in the bucket of that
-rank, by position; a bitmap of three levels of 64-bit words marks the buckets in use, so the lowest rank is found by
-three find-first-set steps. A merge leaves the entries of the pairs it destroyed in their buckets; they are skipped
-when they come up, as the rank at their position has changed. The cost is that of the merges, not of rescans, so very
-long pre-tokens stay linear but for the order within a bucket.
-
-Ids of a pre-token are kept in a cache of two generations in each Python worker, of bounded size.
+A pre-token is a linked list of byte positions that hold token ids. Every adjacent pair that makes a token waits in
+the bucket of that token's rank, by position; a bitmap of two levels of 256-bit words marks the buckets in use, so the
+lowest rank is found by two find-first-set steps. A merge leaves the entries of the pairs it destroyed in their
+buckets; they are skipped when they come up, as the rank at their position has changed, and those left when no pair
+lives are dropped with the queue. The cost is that of the
+merges, not of rescans, so very long pre-tokens stay linear but for the order within a bucket.
+
+Ids of a pre-token are kept in a cache of two generations in each Python worker, of bounded size. Decoding gathers the
+bytes of a batch's ids from one table.
 """
 
 from __future__ import annotations
@@ -14,7 +16,9 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-from collections.abc import Iterator
+import re
+import struct
+from collections.abc import Callable, Iterator
 from heapq import heappop, heappush
 
 import numpy as np
@@ -26,55 +30,40 @@ from pyspark.sql import functions as F
 from trailmark.llm.common import table
 
 #: Entries of one generation of the cache, and the longest pre-token (characters) that is kept in it.
-CACHE, CACHED_LENGTH = 250_000, 64
+CACHE, CACHED_LENGTH = 320_000, 64
 #: Ids after which a batch of results is passed on.
 BATCH_IDS = 4_000_000
-
-
-class RankQueue:
-    """Positions by rank; pop gives the lowest rank's first position."""
-
-    def __init__(self, ranks: int):
-        self.low = [0] * (ranks // 64 + 1)
-        self.mid = [0] * (len(self.low) // 64 + 1)
-        self.top = 0
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        word = rank >> 6
-        if not self.low[word]:
-            if not self.mid[word >> 6]:
-                self.top |= 1 << (word >> 6)
-            self.mid[word >> 6] |= 1 << (word & 63)
-        self.low[word] |= 1 << (rank & 63)
-
-    def pop(self) -> tuple[int, int]:
-        """(rank, position), or (-1, -1) when empty."""
-        top = self.top
-        if not top:
-            return -1, -1
-        group = (top & -top).bit_length() - 1
-        mid = self.mid[group]
-        word = (group << 6) + (mid & -mid).bit_length() - 1
-        low = self.low[word]
-        rank = (word << 6) + (low & -low).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            low &= low - 1
-            self.low[word] = low
-            if not low:
-                mid &= mid - 1
-                self.mid[group] = mid
-                if not mid:
-                    self.top &= top - 1
-        return rank, position
+#: Bits of a word of the bitmap, as a power of two, and each of them.
+_WORD = 8
+_MASK = (1 << _WORD) - 1
+_BIT = [1 << k for k in range(1 << _WORD)]
+
+
+def finder(pattern: str) -> Callable[[str], list[str]]:
+    """All matches of a pattern in a text. Character classes by property are spelled out for the basic plane, so that
+    the faster engine can take texts of that plane; texts beyond it, and patterns the engine doesn't know, go the other
+    way."""
+    full = regex.compile(pattern).findall
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
+    for name in sorted(set(re.findall(r"\\p\{\w+\}", pattern)) | {r"\s"}):
+        runs = [m[0] for m in regex.finditer(name + "+", every)]
+        spelled = "".join(f"\\u{ord(run[0]):04x}-\\u{ord(run[-1]):04x}" for run in runs)
+        inside = re.compile(r"(\[[^\[\]]*?)" + re.escape(name))
+        while inside.search(pattern):
+            pattern = inside.sub(lambda m: m[1] + spelled, pattern)  # noqa: B023
+        pattern = pattern.replace(name, f"[{spelled}]")
+        if name == r"\s":
+            pattern = pattern.replace(r"\S", f"[^{spelled}]")
+    try:
+        quick = re.compile(pattern).findall
+    except re.error:
+        return full
+
+    def find(text: str) -> list[str]:
+        plain = len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text)
+        return quick(text) if plain else full(text)
+
+    return find
 
 
 class Encoder:
@@ -82,66 +71,115 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.find = regex.compile(pattern).findall
-        self.queue = RankQueue(max(ranks.values()) + 1)
-        self.longest = max(map(len, ranks))
-        self.tokens: list[bytes] = [b""] * (max(ranks.values()) + 1)
+        self.find = finder(pattern)
+        size = max(ranks.values()) + 1
+        tokens = [b""] * size
         for token, rank in ranks.items():
-            self.tokens[rank] = token
+            tokens[rank] = token
+        self.tokens = pa.array(tokens, pa.binary())
+        self.lengths = np.array([len(t) for t in tokens], dtype=np.int64)
+        self.bytes = [ranks[bytes([b])] for b in range(256)]
+        #: By a left token's id: the tokens that it makes with the tokens to its right.
+        self.pairs: list[dict[int, int]] = [{} for _ in range(size)]
+        get = ranks.get
+        for token, rank in ranks.items():
+            for k in range(1, len(token)):
+                left, right = get(token[:k]), get(token[k:])
+                if left is not None and right is not None:
+                    self.pairs[left][right] = rank
+        #: The same for two bytes.
+        self.first = [[self.pairs[a].get(b, -1) for b in self.bytes] for a in self.bytes]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one pre-token."""
-        ranks = self.ranks
-        whole = ranks.get(piece)
+        whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        n, longest = len(piece), self.longest
-        queue = self.queue
-        push, pop = queue.push, queue.pop
-        end = list(range(1, n + 1))  # of the token that begins at a position
-        before = list(range(-1, n - 1))
-        waiting = [-1] * n  # the rank of the pair that begins at a position
-        for i in range(n - 1):
-            rank = ranks.get(piece[i : i + 2], -1)
+        n, pairs, bit, first = len(piece), self.pairs, _BIT, self.first
+        ids = [*map(self.bytes.__getitem__, piece)]
+        after, before = list(range(1, n + 1)), list(range(-1, n))
+        # the rank of the pair that begins at a position, and how many pairs have one
+        waiting = [first[a][b] for a, b in zip(piece, piece[1:])]  # noqa: B905
+        waiting.append(-1)
+        live = 0
+        # the queue: positions by rank (one, or a heap of several), and the bitmap of ranks in use
+        buckets, words, top = {}, {}, 0
+        for at, rank in enumerate(waiting):
             if rank >= 0:
-                waiting[i] = rank
-                push(rank, i)
-        while True:
-            rank, at = pop()
-            if rank < 0:
-                break
+                live += 1
+                if rank in buckets:
+                    bucket = buckets[rank]
+                    if type(bucket) is int:
+                        buckets[rank] = [bucket, at]
+                    else:
+                        bucket.append(at)  # the greatest: still a heap
+                else:
+                    buckets[rank] = at
+                    high = rank >> _WORD
+                    words[high] = words.get(high, 0) | bit[rank & _MASK]
+                    top |= 1 << high
+        while live:
+            high = (top & -top).bit_length() - 1
+            word = words[high]
+            rank = (high << _WORD) + (word & -word).bit_length() - 1
+            bucket = buckets[rank]
+            if type(bucket) is int:
+                at, bucket = bucket, None
+            else:
+                at = heappop(bucket)
+            if not bucket:
+                del buckets[rank]
+                words[high] = word = word & (word - 1)
+                if not word:
+                    top &= top - 1
             if waiting[at] != rank:
                 continue  # stale
-            gone = end[at]
-            stop = end[at] = end[gone]
-            waiting[gone] = -1
+            gone = after[at]
+            stop = after[at] = after[gone]
+            ids[at] = rank
+            live -= 1
+            if waiting[gone] >= 0:
+                waiting[gone] = -1
+                live -= 1
+            right, left = -1, before[at]
             if stop < n:
                 before[stop] = at
-                last = end[stop]
-                rank = ranks.get(piece[at:last], -1) if last - at <= longest else -1
-                waiting[at] = rank
-                if rank >= 0:
-                    push(rank, at)
+                right = pairs[rank].get(ids[stop], -1)
+            waiting[at] = right
+            if left < 0:
+                fresh = ((right, at),)
             else:
-                waiting[at] = -1
-            left = before[at]
-            if left >= 0:
-                rank = ranks.get(piece[left:stop], -1) if stop - left <= longest else -1
-                waiting[left] = rank
+                if waiting[left] >= 0:
+                    live -= 1
+                new = waiting[left] = pairs[ids[left]].get(rank, -1)
+                fresh = ((right, at), (new, left))
+            for rank, at in fresh:
                 if rank >= 0:
-                    push(rank, left)
+                    live += 1
+                    if rank in buckets:
+                        bucket = buckets[rank]
+                        if type(bucket) is int:
+                            buckets[rank] = [bucket, at] if bucket < at else [at, bucket]
+                        else:
+                            heappush(bucket, at)
+                    else:
+                        buckets[rank] = at
+                        high = rank >> _WORD
+                        words[high] = words.get(high, 0) | bit[rank & _MASK]
+                        top |= 1 << high
         out, i = [], 0
         while i < n:
-            out.append(ranks[piece[i : end[i]]])
-            i = end[i]
+            out.append(ids[i])
+            i = after[i]
         return out
 
     def _miss(self, piece: str) -> bytes:
         found = self.old.get(piece)
         if found is None:
-            found = np.array(self.merge(piece.encode("utf-8", "replace")), dtype="<u4").tobytes()
+            ids = self.merge(piece.encode("utf-8", "replace"))
+            found = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= CACHED_LENGTH:
             if len(self.young) >= CACHE:
                 self.old, self.young = self.young, {}
@@ -150,19 +188,25 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
-        get, miss = self.young.get, self._miss
-        out = []
-        for piece in self.find(text):
-            found = get(piece)
-            if found is None:
-                found = miss(piece)
-                get = self.young.get  # the generation may have changed
-            out.append(found)
-        return b"".join(out)
+        pieces = self.find(text)
+        out = list(map(self.young.get, pieces))
+        at = -1
+        try:
+            while True:
+                at = out.index(None, at + 1)
+                out[at] = self.young.get(pieces[at]) or self._miss(pieces[at])
+        except ValueError:
+            return b"".join(out)
+
+    def decoded(self, ids: np.ndarray, offsets: np.ndarray) -> list[memoryview]:
+        """The bytes of ids[offsets[k] : offsets[k + 1]] for each k."""
+        data = self.tokens.take(pa.array(ids.astype(np.int64))).buffers()[2] if len(ids) else None
+        ends = np.concatenate([[0], np.cumsum(self.lengths[ids])])[offsets]
+        view = memoryview(data) if data is not None else memoryview(b"")
+        return [view[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
     def decode(self, ids: np.ndarray) -> bytes:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in ids.tolist()])
+        return bytes(self.decoded(ids, np.array([0, len(ids)]))[0])
 
 
 @functools.lru_cache(maxsize=2)
@@ -178,10 +222,21 @@ def read_ranks(path: str) -> bytes:
         return f.read()
 
 
-def _ids_array(parts: list[bytes]) -> pa.Array:
-    offsets = np.zeros(len(parts) + 1, dtype=np.int32)
-    np.cumsum([len(p) // 4 for p in parts], out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), dtype="<i4")))
+def _coded(batch: pa.RecordBatch, code: Encoder) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, list[bytes]]]:
+    """(doc_id, ids, offsets, ids of each text as bytes) of a batch (doc_id, text), a bounded number of ids at a time."""
+    first, size, parts = 0, 0, []
+    texts = batch.column(1)
+    for k in range(len(texts)):
+        parts.append(code.encode(texts[k].as_py() or ""))
+        size += len(parts[-1]) // 4
+        if size >= BATCH_IDS or k + 1 == len(texts):
+            offsets = np.cumsum([0] + [len(p) // 4 for p in parts])
+            yield batch.column(0).slice(first, len(parts)), np.frombuffer(b"".join(parts), dtype="<i4"), offsets, parts
+            first, size, parts = k + 1, 0, []
+
+
+def _narrow(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
 
 def encode(docs: DataFrame, raw: bytes, pattern: str) -> DataFrame:
@@ -192,50 +247,51 @@ def encode(docs: DataFrame, raw: bytes, pattern: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = encoder(raw, pattern).encode
+        code = encoder(raw, pattern)
         for batch in batches:
-            first, size, parts = 0, 0, []
-            texts = batch.column(1)
-            for k in range(len(texts)):
-                parts.append(code(texts[k].as_py() or ""))
-                size += len(parts[-1]) // 4
-                if size >= BATCH_IDS or k + 1 == len(texts):
-                    ids = batch.column(0).slice(first, len(parts))
-                    yield pa.RecordBatch.from_arrays([ids, _ids_array(parts)], names=["doc_id", "ids"])
-                    first, size, parts = k + 1, 0, []
+            for doc_id, ids, offsets, _ in _coded(batch, code):
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([doc_id, lists], names=["doc_id", "ids"])
 
-    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return narrow.mapInArrow(run, "doc_id bigint, ids array<int>")
+    return _narrow(docs).mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
 def decode(tokens: DataFrame, raw: bytes, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded binary) for each row of (doc_id, ids)."""
+    """(doc_id, decoded binary) for each row of (doc_id, ids); a null list counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(raw, pattern)
         for batch in batches:
             lists = batch.column(1)
-            values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
-            counts, digests, texts = [], [], []
-            for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-                ids = values[a:b]
-                counts.append(int(b - a))
-                digests.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
-                texts.append(code.decode(ids))
+            offsets = lists.offsets.to_numpy()
+            texts = code.decoded(lists.values.to_numpy()[offsets[0] : offsets[-1]], offsets - offsets[0])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(texts, pa.binary())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded"],
+                [batch.column(0), pa.array(map(bytes, texts), pa.binary())], names=["doc_id", "decoded"]
             )
 
-    return tokens.select("doc_id", "ids").mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded binary"
-    )
+    none = F.array().cast("array<int>")
+    return tokens.select("doc_id", F.coalesce("ids", none).alias("ids")).mapInArrow(run, "doc_id bigint, decoded binary")
 
 
 def round_trip(docs: DataFrame, raw: bytes, pattern: str) -> DataFrame:
-    """One row per row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    found = decode(encode(docs, raw, pattern), raw, pattern)
-    return found.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    """One row per row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256. Texts are encoded, their ids decoded, and
+    both hashed in one pass over the table; odd rows as in `encode`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, sha = encoder(raw, pattern), hashlib.sha256
+        for batch in batches:
+            for doc_id, ids, offsets, parts in _coded(batch, code):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        doc_id,
+                        pa.array(np.diff(offsets), pa.int64()),
+                        pa.array([sha(p).hexdigest() for p in parts], pa.string()),
+                        pa.array([sha(t).hexdigest() for t in code.decoded(ids, offsets)], pa.string()),
+                    ],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+
+    return _narrow(docs).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def default_vocabulary() -> tuple[bytes, str]:
