@@ -53,6 +53,31 @@ def test_explicit_never_falls_back_and_ties_go_later(spark):
     assert got == {"a1": ("i2", "inferred"), "a3": ("i1", "explicit")}
 
 
+def test_other_contents_are_scopes(spark):
+    """An action on a store meets an impression of an item of the store, if the store's dimension is selected."""
+    kind = "platform_id bigint, log_user_id string, ms bigint, impression_id string, content_id string, other_content_ids map<int,string>"
+    left = spark.createDataFrame([(1, "u", 10, "i1", "c1", {7: "store9"}), (1, "u", 20, "i2", "c2", {7: "store8"})], kind)
+    right = spark.createDataFrame([(1, "u", 50, "", "store9", {}, "a1")], kind + ", action_id string")
+    o = A.JoinOptions("impression_id", ("content_id",), 100, use_contents=True, right_key=("action_id",), other_dimensions=(7,))
+    assert [(r.left_key, r.kind) for r in A.attribute(left, right, o).collect()] == [("i1", "inferred")]
+    none = A.JoinOptions("impression_id", ("content_id",), 100, use_contents=True, right_key=("action_id",))
+    assert A.attribute(left, right, none).collect() == []
+
+
+def test_one_very_busy_user(spark):
+    """100,000 events of one user on either side, all within reach of each other's neighbours: read in order, not in
+    pairs; time buckets are part of the key."""
+    base = spark.range(100_000).select(F.lit(1).cast("bigint").alias("platform_id"), F.lit("bot").alias("log_user_id"), "id")
+    views = base.select("platform_id", "log_user_id", (F.col("id") * 10).alias("ms"), F.concat(F.lit("v"), "id").alias("view_id"), F.lit("").alias("content_id"))
+    right = base.select("platform_id", "log_user_id", (F.col("id") * 10 + 3).alias("ms"), F.lit("").alias("view_id"), F.concat(F.lit("n"), "id").alias("insertion_id"), F.lit("").alias("content_id"))
+    out = A.attribute(views, right, A.VIEW_INSERTION)
+    assert "bucket" in out._jdf.queryExecution().toString()
+    assert out.where("left_key = concat('v', substring(insertion_id, 2))").count() == 100_000
+    # one chain without a gap: the first event of each span
+    rows = base.select("log_user_id", (F.col("id") * 10).alias("ms"), "id")
+    assert D.keep_first(rows, ["log_user_id"], "ms", ["id"], 995).count() == 1_000
+
+
 def test_redundant_impressions(spark):
     hour = 3_600_000
     left = imps(spark, [(500, "imp1", "c"), (1000, "imp2", "c"), (6000, "imp3", "c"), (60_000, "imp4", "c")])
@@ -125,6 +150,18 @@ def test_push_down_defaults(spark):
     assert set(parts) == set(schemas.RECORDS)
 
 
+def test_user_ids_are_cleared_in_arrays(spark):
+    info = "user_info struct<user_id:string,log_user_id:string>"
+    rows = spark.createDataFrame(
+        [(("u", "l"), [(("u2", "l2"), [(("u3", "l3"),)]), None], None)],
+        f"{info}, view array<struct<{info.replace(' ', ':', 1)}, inner:array<struct<{info.replace(' ', ':', 1)}>>>>, request struct<{info.replace(' ', ':', 1)}>",
+    )
+    r = ingest.clear_user_id(rows).first()
+    assert r.user_info.user_id == "" and r.user_info.log_user_id == "l"
+    assert r.view[0].user_info.user_id == "" and r.view[0].user_info.log_user_id == "l2"
+    assert r.view[0].inner[0].user_info.user_id == "" and r.view[1] is None and r.request is None
+
+
 def test_filters_give_both_sides(spark):
     df = spark.range(4).withColumn("p", F.when(F.col("id") < 2, True))
     keep, rest = K.partition_by(df, F.col("p"))

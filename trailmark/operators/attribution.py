@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from trailmark.functions import scalars as S
 
@@ -19,7 +20,8 @@ class JoinOptions:
     scopes: ancestor ids from most to least specific, tried in that order; max_time and max_out_of_order (ms) say how
     long before and after the right event the left one may lie; retention bounds joins by id, as a multiple of
     max_time (0: unbounded); use_contents: left rows of a scope must share a content id when the right has any;
-    user_scope: the user itself is the last scope.
+    user_scope: the user itself is the last scope. The scope content_id goes on with the other contents of an event:
+    all of them where they are an array, those under the keys other_dimensions, in that order, where they are a map.
     """
 
     key: str
@@ -31,6 +33,7 @@ class JoinOptions:
     use_contents: bool = False
     user_scope: bool = False
     right_key: tuple[str, ...] = field(default=())
+    other_dimensions: tuple = field(default=())
 
 
 VIEW_INSERTION = JoinOptions("view_id", (), 600_000, how="right", user_scope=True, right_key=("insertion_id",))
@@ -46,10 +49,79 @@ IMPRESSION_ACTION = JoinOptions(
 )
 
 
-def contents(df: DataFrame) -> Column:
-    """All content ids of an event: its own and the others, without blanks."""
-    others = F.col("other_content_ids") if "other_content_ids" in df.columns else F.array().cast("array<string>")
-    return F.array_distinct(F.filter(F.concat(F.array("content_id"), others), lambda c: ~S.blank(c)))
+def other_ids(df: DataFrame, dimensions: tuple | None = None) -> Column:
+    """An event's other contents as an array; of a map all values, or those under some keys."""
+    none = F.array().cast("array<string>")
+    if "other_content_ids" not in df.columns:
+        return none
+    c = F.col("other_content_ids")
+    if isinstance(df.schema["other_content_ids"].dataType, MapType):
+        if dimensions is not None:
+            return F.array(*[F.try_element_at(c, F.lit(d)) for d in dimensions]) if dimensions else none
+        c = F.map_values(c)
+    return F.coalesce(c, none)
+
+
+def contents(df: DataFrame, dimensions: tuple | None = None) -> Column:
+    """All content ids of an event (or, of a map of others, those under some keys): its own first, without blanks."""
+    every = F.concat(F.array("content_id"), other_ids(df, dimensions))
+    return F.array_distinct(F.filter(every, lambda c: ~S.blank(c)))
+
+
+def _scopes(df: DataFrame, o: JoinOptions) -> Column:
+    """An event's scopes in order: (kind, id). A content's kind is the same whether it is the event's own or another."""
+    parts = []
+    for name in o.scopes:
+        if name == "content_id":
+            parts.append(F.transform(contents(df, o.other_dimensions), lambda c: F.struct(F.lit("content").alias("kind"), c.alias("id"))))
+        else:
+            parts.append(F.array(F.struct(F.lit(name).alias("kind"), F.col(name).alias("id"))))
+    if o.user_scope:
+        parts.append(F.array(F.struct(F.lit("user").alias("kind"), F.lit("user").alias("id"))))
+    return F.concat(*parts) if parts else F.array().cast("array<struct<kind:string,id:string>>")
+
+
+def _inferred(lhs: DataFrame, open_: DataFrame, r_key: list[str], o: JoinOptions) -> DataFrame:
+    """(r_key, left_key, left_ms) of the open right rows that a scope gives a left row.
+
+    Both sides are put together by user, scope, content and time bucket, and the nearest left row is carried along
+    time, so a user's events are read once in order instead of in pairs, and a very busy user is spread over scopes
+    and buckets. A bucket is as long as the time a right row looks around; left rows go to the neighbouring ones too.
+    """
+    width = max(1, o.max_time + o.max_out_of_order)
+    bucket = F.floor(F.col("ms") / width).cast("bigint")
+    key = [*USER, "kind", "id", "content", "bucket"]
+    any_ = F.array(F.lit(""))
+    near = F.array(*[bucket + k for k in ((0, 1) if not o.max_out_of_order else (-1, 0, 1))])
+    left_contents = F.array_union(any_, contents(lhs)) if o.use_contents else any_
+    right_contents = F.when(F.size(contents(open_)) > 0, contents(open_)).otherwise(any_) if o.use_contents else any_
+    left = (
+        lhs.select(*USER, "ms", F.col(o.key).alias("left_key"), F.explode(F.array_distinct(_scopes(lhs, o))).alias("x"), left_contents.alias("c"), near.alias("b"))
+        .where(~S.blank(F.col("x.id")))
+        .select(*USER, "ms", "left_key", "x.*", F.explode("c").alias("content"), "b")
+        .select(*USER, "ms", "left_key", "kind", "id", "content", F.explode("b").alias("bucket"))
+    )
+    right = (
+        open_.select(*USER, "ms", F.struct(*[F.col(k).alias(f"k{n}") for n, k in enumerate(r_key)]).alias("r"), F.posexplode(_scopes(open_, o)).alias("rank", "x"), right_contents.alias("c"), bucket.alias("bucket"))
+        .where(~S.blank(F.col("x.id")))
+        .select(*USER, "ms", "r", "rank", "x.*", F.explode("c").alias("content"), "bucket")
+    )
+    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    both = left.select(*key, "ms", F.lit(0).alias("side"), F.struct(F.col("ms").alias("left_ms"), "left_key").alias("left"), none("r", right.schema["r"].dataType), none("rank", "int"))
+    both = both.unionByName(right.select(*key, "ms", F.lit(1).alias("side"), none("left", both.schema["left"].dataType), "r", "rank"))
+    # of left rows with one time the one with the smaller id comes last on the way to the right row
+    upto = Window.partitionBy(*key).orderBy("ms", "side", F.col("left.left_key").desc())
+    found = both.withColumn("back", F.last("left", ignorenulls=True).over(upto.rowsBetween(Window.unboundedPreceding, 0)))
+    sides = ["back"]
+    if o.max_out_of_order:
+        after = Window.partitionBy(*key).orderBy(F.desc("ms"), F.desc("side"), F.col("left.left_key").desc())
+        found = found.withColumn("ahead", F.last("left", ignorenulls=True).over(after.rowsBetween(Window.unboundedPreceding, 0)))
+        sides.append("ahead")
+    found = found.where("side = 1").select("r", "rank", "ms", F.explode(F.array(*sides)).alias("left")).select("r", "rank", "ms", "left.*")
+    found = found.where((F.col("left_ms") >= F.col("ms") - o.max_time) & (F.col("left_ms") <= F.col("ms") + o.max_out_of_order))
+    order = F.struct("rank", F.abs(F.col("ms") - F.col("left_ms")).alias("lag"), (-F.col("left_ms")).alias("late"), "left_key", "ms", "left_ms")
+    best = found.groupBy("r").agg(F.min(order).alias("best"))
+    return best.select(*[F.col(f"r.k{n}").alias(k) for n, k in enumerate(r_key)], "best.left_key", "best.left_ms", F.col("best.ms").alias("ms"))
 
 
 def attribute(left: DataFrame, right: DataFrame, o: JoinOptions) -> DataFrame:
@@ -62,41 +134,25 @@ def attribute(left: DataFrame, right: DataFrame, o: JoinOptions) -> DataFrame:
     """
     r_key = [*USER, *(o.right_key or ())]
     line = Window.partitionBy(*USER, o.key).orderBy("ms", *o.scopes)
-    first = left.where(~S.blank(F.col(o.key))).withColumn("__n", F.row_number().over(line)).where("__n = 1")
-    names = {c: f"l_{c}" for c in first.columns if c not in USER}
-    lhs = first.withColumn("__contents", contents(first)).withColumnsRenamed(names | {"__contents": "l_contents"})
-    rhs = right.withColumn("__contents", contents(right))
+    lhs = left.where(~S.blank(F.col(o.key))).withColumn("__n", F.row_number().over(line)).where("__n = 1").drop("__n")
 
     lag = F.col("ms") - F.col("l_ms")
-    by_id = rhs.where(~S.blank(F.col(o.key))).join(
-        lhs.select(*USER, F.col(f"l_{o.key}").alias(o.key), F.lit(True).alias("hit"), "l_ms"), [*USER, o.key], "left"
+    by_id = right.where(~S.blank(F.col(o.key))).join(
+        lhs.select(*USER, o.key, F.lit(True).alias("hit"), F.col("ms").alias("l_ms")), [*USER, o.key], "left"
     )
     if o.retention:
         near = (lag <= o.max_time * o.retention) & (lag >= -o.max_out_of_order)
         by_id = by_id.withColumn("hit", F.when(near, F.col("hit")))
     explicit = by_id.where("hit").select(*right.columns, F.col(o.key).alias("left_key"), F.col("l_ms").alias("left_ms"), F.lit("explicit").alias("kind"))
 
-    open_ = rhs.where(S.blank(F.col(o.key)))
+    open_ = right.where(S.blank(F.col(o.key)))
     for k in o.right_key[:1]:
         open_ = open_.where(~S.blank(F.col(k)))
-    # a scope is an equality on the user and one id; the content scope meets on any content id they share
-    def scoped(df: DataFrame, prefix: str, ids) -> DataFrame:
-        struct = [
-            F.struct(F.lit(rank).alias("rank"), F.col(f"{prefix}{name}").alias("id")) for rank, name in enumerate(ids)
-        ]
-        if o.user_scope:
-            struct.append(F.struct(F.lit(len(ids)).alias("rank"), F.lit("user").alias("id")))
-        return df.withColumn("x", F.explode(F.array(*struct))).where(~S.blank(F.col("x.id"))).select("*", "x.rank", "x.id").drop("x")
-
-    pairs = scoped(open_, "", o.scopes).join(
-        scoped(lhs, "l_", o.scopes).select(*USER, "rank", "id", f"l_{o.key}", "l_ms", "l_contents"), [*USER, "rank", "id"]
-    )
-    pairs = pairs.where((F.col("l_ms") >= F.col("ms") - o.max_time) & (F.col("l_ms") <= F.col("ms") + o.max_out_of_order))
-    if o.use_contents:
-        pairs = pairs.where((F.size("__contents") == 0) | F.arrays_overlap("__contents", "l_contents"))
-    best = Window.partitionBy(*r_key).orderBy("rank", F.abs(lag), F.desc("l_ms"), f"l_{o.key}", "ms")
-    chosen = pairs.withColumn("__n", F.row_number().over(best)).where("__n = 1")
-    inferred = chosen.select(*right.columns, F.col(f"l_{o.key}").alias("left_key"), F.col("l_ms").alias("left_ms"), F.lit("inferred").alias("kind"))
+    # of right rows with one key the one that is nearest to its left row counts
+    found = _inferred(lhs, open_, r_key, o)
+    once = Window.partitionBy(*r_key).orderBy("ms")
+    joined_open = open_.join(found, [*r_key, "ms"]).withColumn("__n", F.row_number().over(once)).where("__n = 1")
+    inferred = joined_open.select(*right.columns, "left_key", "left_ms", F.lit("inferred").alias("kind"))
     joined = explicit.unionByName(inferred)
     if o.how == "inner":
         return joined

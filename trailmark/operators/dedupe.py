@@ -22,27 +22,33 @@ def with_first(df: DataFrame, keys: list[str], ms: str, order: list[str], span:
     """Adds `first_ms`: the time of the event that opened the group an event falls into.
 
     Per key, in order of time, an event later than the opening one by more than `span` (or exactly `span`, unless
-    strict) opens a new group. A gap above the span always does, so a key's events are first cut at such gaps, and
-    only the stretches between them are walked through in order; a very frequent key is spread over its stretches.
+    strict) opens a new group. A gap above the span always does, so a key's different times are first cut at such gaps;
+    only within a stretch without one are they walked through in order, as an array of its different times. The
+    openers are then carried forward along time to the events, which are never gathered.
     """
-    line = Window.partitionBy(*keys).orderBy(ms, *order)
     far = lambda later, earlier: (later - earlier > span) if strict else (later - earlier >= span)
-    gap = F.coalesce(far(F.col(ms), F.lag(ms).over(line)), F.lit(True))
-    cut = df.withColumn("__gap", gap.cast("int"))
+    times = df.select(*keys, F.col(ms).alias("__t")).distinct()
+    line = Window.partitionBy(*keys).orderBy("__t")
+    gap = F.coalesce(far(F.col("__t"), F.lag("__t").over(line)), F.lit(True)).cast("int")
+    cut = times.withColumn("__gap", gap)
     cut = cut.withColumn("__part", F.sum("__gap").over(line.rowsBetween(Window.unboundedPreceding, 0)))
-    times = F.sort_array(F.collect_set(ms))
-    zero = F.array().cast("array<bigint>")
-    openers = F.aggregate(
-        times,
-        zero,
+    start = F.struct(F.array().cast("array<bigint>").alias("all"), F.lit(None).cast("bigint").alias("last"))
+    walked = F.aggregate(
+        F.sort_array(F.collect_list(F.col("__t").cast("bigint"))),
+        start,
         lambda acc, t: F.when(
-            (F.size(acc) == 0) | far(t, F.element_at(acc, F.greatest(F.size(acc), F.lit(1)))), F.concat(acc, F.array(t))
+            acc["last"].isNull() | far(t, acc["last"]), F.struct(F.concat(acc["all"], F.array(t)).alias("all"), t.alias("last"))
         ).otherwise(acc),
+        lambda acc: acc["all"],
     )
-    heads = cut.groupBy(*keys, "__part").agg(openers.alias("__openers"))
-    joined = cut.join(heads, [*keys, "__part"])
-    first = F.array_max(F.filter("__openers", lambda t: t <= F.col(ms)))
-    return joined.withColumn("first_ms", first).drop("__gap", "__part", "__openers")
+    openers = cut.groupBy(*keys, "__part").agg(walked.alias("__openers")).select(*keys, F.explode("__openers").alias("__t"))
+    # as-of: openers and events in one line
+    both = openers.select(*keys, "__t", F.col("__t").alias("first_ms"), F.lit(None).cast(df.schema).alias("__row")).unionByName(
+        df.select(*keys, F.col(ms).cast("bigint").alias("__t"), F.lit(None).cast("bigint").alias("first_ms"), F.struct(*df.columns).alias("__row"))
+    )
+    along = Window.partitionBy(*keys).orderBy("__t", F.col("__row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    placed = both.withColumn("first_ms", F.last("first_ms", ignorenulls=True).over(along)).where("__row IS NOT NULL")
+    return placed.select("__row.*", "first_ms")
 
 
 def keep_first(df: DataFrame, keys: list[str], ms: str, order: list[str], span: int) -> DataFrame:

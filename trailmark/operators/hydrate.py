@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.functions import scalars as S
-from trailmark.operators.attribution import USER
+from trailmark.operators.attribution import USER, other_ids
 
 
 def bundle_insertions(logs: DataFrame) -> DataFrame:
@@ -39,18 +39,20 @@ def impression_details(tiny: DataFrame, views: DataFrame, deliveries: DataFrame,
 
 
 def single_cart_content(cart: Column, content_id: Column, others: Column) -> Column:
-    """The first cart item with the content id, else with one of the other ids; a quantity of 0 becomes 1."""
+    """The first cart item with the content id, else with the first other id that has one; a quantity of 0 becomes 1."""
     match = lambda test: F.get(F.filter(cart, test), F.lit(0))
-    item = F.coalesce(match(lambda c: c["content_id"] == content_id), match(lambda c: F.array_contains(others, c["content_id"])))
+    of_other = F.transform(others, lambda other: match(lambda c: c["content_id"] == other))
+    item = F.coalesce(match(lambda c: c["content_id"] == content_id), F.get(F.filter(of_other, lambda c: c.isNotNull()), F.lit(0)))
     return F.when(item.isNotNull(), item.withField("quantity", F.when(item["quantity"] == 0, F.lit(1).cast("bigint")).otherwise(item["quantity"])))
 
 
 def action_details(tiny: DataFrame, joined_impressions: DataFrame, actions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(joined actions, dropped rows): both details are required. tiny: user key, action_id, impression_id, content_id."""
+    """(joined actions, dropped rows): both details are required. tiny: user key, action_id, impression_id, content_id,
+    and other_content_ids (an array or a map) where events have other contents, which the cart is searched for next."""
     full = tiny.join(joined_impressions, [*USER, "impression_id"], "left").join(actions, [*USER, "action_id"], "left")
     whole = F.col("joined_impression").isNotNull() & F.col("action").isNotNull()
     done = full.where(whole).withColumn(
-        "single_cart_content", single_cart_content(F.col("action.cart"), F.col("content_id"), F.array().cast("array<string>"))
+        "single_cart_content", single_cart_content(F.col("action.cart"), F.col("content_id"), other_ids(tiny))
     )
     return done, full.where(~whole).select(*tiny.columns)
 

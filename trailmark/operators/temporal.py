@@ -75,11 +75,13 @@ def sessions(impressions: DataFrame, actions: DataFrame, gap: str = "1 day") ->
 def latest_impressions(actions: DataFrame, impressions: DataFrame, window: int = 21_600_000, most: int = 25) -> DataFrame:
     """Per action the user's latest impressions within `window` ms up to it, newest first one per content, without
     contents acted on by then, at most `most` of them (the feature's limit), given in ascending time."""
-    a = actions.select(*USER, "action_id", F.col("ms").alias("a_ms"))
-    i = impressions.select(*USER, F.col("ms").alias("i_ms"), "impression_id", F.col("content_id").alias("i_content"))
+    # a bucket is as long as the window: an impression meets the actions of its own bucket and of the next one
+    bucket = F.floor(F.col("ms") / (window + 1)).cast("bigint")
+    a = actions.select(*USER, "action_id", F.col("ms").alias("a_ms"), bucket.alias("bucket"))
+    i = impressions.select(*USER, F.col("ms").alias("i_ms"), "impression_id", F.col("content_id").alias("i_content"), F.explode(F.array(bucket, bucket + 1)).alias("bucket"))
     done = actions.select(*USER, F.col("content_id").alias("i_content"), F.col("ms").alias("d_ms")).groupBy(*USER, "i_content").agg(F.min("d_ms").alias("d_ms"))
     i = i.join(done, [*USER, "i_content"], "left")
-    pairs = a.join(i, list(USER)).where((F.col("i_ms") <= F.col("a_ms")) & (F.col("i_ms") >= F.col("a_ms") - window))
+    pairs = a.join(i, [*USER, "bucket"]).where((F.col("i_ms") <= F.col("a_ms")) & (F.col("i_ms") >= F.col("a_ms") - window))
     pairs = pairs.where("d_ms IS NULL OR d_ms > a_ms")
     each = Window.partitionBy(*USER, "action_id", "i_content").orderBy(F.desc("i_ms"), "impression_id")
     pairs = pairs.withColumn("n", F.row_number().over(each)).where("n = 1")

@@ -131,10 +131,62 @@ def view_insertion(spark, sf_dir):
     return A.attribute(views, right, A.VIEW_INSERTION).select("insertion_id", "left_key", "left_ms", "kind")
 
 
-@register("j5_content_overlap", "SELECT l_orderkey AS k, count(*) AS n FROM lineitem WHERE l_partkey % 3 = 0 GROUP BY 1")
+def _with_others(df: DataFrame, own, others) -> DataFrame:
+    """Events with a content of their own and a map of other contents by dimension (1: store, 2: brand)."""
+    values = F.create_map(F.lit(1), others[0].cast("string"), F.lit(2), others[1].cast("string"))
+    return df.withColumns({"content_id": own.cast("string"), "other_content_ids": values})
+
+
+_OTHERS = f"""{_TINY}, i2 AS (SELECT log_user_id, ms, id, 'c' || event_id % 4 AS content_id, 's' || event_id % 3 AS store, 'b' || event_id % 2 AS brand,
+  CAST(event_id % 3 AS VARCHAR) AS view_id FROM imp),
+a2 AS (SELECT log_user_id, ms, id, CASE event_id % 4 WHEN 0 THEN 's' || event_id % 3 WHEN 1 THEN 'c' || event_id % 5 WHEN 2 THEN '' ELSE 'b1' END AS content_id,
+  CASE WHEN event_id % 4 = 2 THEN 's1' ELSE '' END AS store, CAST(event_id % 3 AS VARCHAR) AS view_id FROM act)"""
+
+
+def _two_sided(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    n = F.col("event_id")
+    shown, done = impressions(spark, sf_dir), actions(spark, sf_dir)
+    shown = shown.withColumn("event_id", F.col("impression_id").cast("bigint"))
+    done = done.withColumn("event_id", F.col("action_id").cast("bigint"))
+    left = _with_others(shown, F.concat(F.lit("c"), n % 4), (F.concat(F.lit("s"), n % 3), F.concat(F.lit("b"), n % 2)))
+    own = F.when(n % 4 == 0, F.concat(F.lit("s"), n % 3)).when(n % 4 == 1, F.concat(F.lit("c"), n % 5)).when(n % 4 == 2, "").otherwise("b1")
+    right = _with_others(done, own, (F.when(n % 4 == 2, "s1").otherwise(""), F.lit("")))
+    return left, right
+
+
+@register(
+    "j4_other_contents",
+    f"""WITH {_OTHERS}, scopes AS (
+  SELECT id, 0 AS rank, content_id AS scope FROM a2 WHERE content_id <> '' UNION ALL SELECT id, 1, store FROM a2 WHERE store <> ''),
+p AS (SELECT a.id AS action_id, i.id AS left_key, i.ms AS left_ms,
+    row_number() OVER (PARTITION BY a.id ORDER BY s.rank, abs(a.ms - i.ms), i.ms DESC, i.id) AS n
+  FROM a2 a JOIN scopes s USING (id) JOIN i2 i ON a.log_user_id = i.log_user_id AND s.scope IN (i.content_id, i.store)
+   AND i.ms BETWEEN a.ms - {5 * DAY} AND a.ms + {HOUR})
+SELECT action_id, left_key, left_ms FROM p WHERE n = 1""",
+)
+def other_contents(spark, sf_dir):
+    """Actions on a store that meet impressions of its items: the store dimension is selected, the brand is not."""
+    left, right = _two_sided(spark, sf_dir)
+    o = A.JoinOptions(
+        "impression_id", ("content_id",), 5 * DAY, HOUR, use_contents=True, right_key=("action_id",), other_dimensions=(1,)
+    )
+    return A.attribute(left, right, o).select("action_id", "left_key", "left_ms")
+
+
+@register(
+    "j5_content_overlap",
+    f"""WITH {_OTHERS}, p AS (SELECT a.id AS action_id, i.id AS left_key,
+    row_number() OVER (PARTITION BY a.id ORDER BY abs(a.ms - i.ms), i.ms DESC, i.id) AS n
+  FROM a2 a JOIN i2 i ON a.log_user_id = i.log_user_id AND a.view_id = i.view_id AND i.ms BETWEEN a.ms - {5 * DAY} AND a.ms
+  WHERE a.content_id IN (i.content_id, i.store, i.brand) OR (a.store <> '' AND a.store = i.store))
+SELECT action_id, left_key FROM p WHERE n = 1""",
+)
 def content_overlap(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.array((F.col("l_partkey") % 3).cast("string")).alias("a"))
-    return rows.where(F.arrays_overlap("a", F.array(F.lit("0")))).groupBy(F.col("l_orderkey").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    """Within a view, only impressions that share a content with the action, whichever it is of either, count."""
+    left, right = _two_sided(spark, sf_dir)
+    view = lambda df: df.withColumn("view_id", (F.col("event_id") % 3).cast("string"))
+    o = A.JoinOptions("impression_id", ("view_id",), 5 * DAY, use_contents=True, right_key=("action_id",))
+    return A.attribute(view(left), view(right), o).select("action_id", "left_key")
 
 
 @register(
@@ -183,14 +235,16 @@ def impression_details(spark, sf_dir):
 
 @register(
     "j9_action_details",
-    """SELECT CAST(l_orderkey AS VARCHAR) AS action_id, CAST(l_partkey AS VARCHAR) AS content_id,
+    """SELECT CAST(l_orderkey AS VARCHAR) AS action_id, CASE WHEN l_partkey % 2 = 0 THEN CAST(l_partkey AS VARCHAR) ELSE 'store' || l_partkey END AS content_id,
        CASE WHEN q = 0 THEN 1 ELSE q END AS quantity FROM (
   SELECT l_orderkey, l_partkey, first(CAST(l_quantity AS BIGINT) % 5 ORDER BY l_linenumber, CAST(l_quantity AS BIGINT) % 5) AS q FROM lineitem WHERE l_orderkey % 2 = 0 GROUP BY 1, 2)""",
 )
 def action_details(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     key = [F.lit(1).cast("bigint").alias("platform_id"), F.lit("u").alias("log_user_id")]
-    tiny = lines.select(*key, F.col("l_orderkey").cast("string").alias("action_id"), F.col("l_orderkey").cast("string").alias("impression_id"), F.col("l_partkey").cast("string").alias("content_id")).distinct()
+    tiny = lines.select(*key, F.col("l_orderkey").cast("string").alias("action_id"), F.col("l_orderkey").cast("string").alias("impression_id"), F.when(F.col("l_partkey") % 2 == 0, F.col("l_partkey").cast("string")).otherwise(F.concat(F.lit("store"), F.col("l_partkey").cast("string"))).alias("content_id"), F.col("l_partkey").cast("string").alias("item")).distinct()
+    # half of the actions are on a store; its item in the cart is found by their other contents
+    tiny = tiny.withColumn("other_content_ids", F.array(F.lit("none"), "item")).drop("item")
     shown = lines.where("l_orderkey % 2 = 0").select(*key, F.col("l_orderkey").cast("string").alias("impression_id")).distinct().withColumn("joined_impression", F.lit("i"))
     item = F.struct("l_linenumber", F.struct(F.col("l_partkey").cast("string").alias("content_id"), (F.col("l_quantity").cast("bigint") % 5).alias("quantity")).alias("c"))
     carts = lines.groupBy("l_orderkey").agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["c"]).alias("cart"))
