@@ -106,9 +106,11 @@ COUNT_IMPRESSION = 1 << 5
 
 
 def metric(action_type: Column) -> Column:
-    """The metric bits of an action type; types without a name of their own count as unknown (0)."""
+    """The metric bits of an action type; types without a name of their own count as unknown (0), and an impression
+    without an action (null) as an impression."""
     known = action_type.isin([n for n in ACTION_NAMES if n > 1])
-    return F.when(known, F.shiftleft(action_type, 5)).otherwise(F.lit(0))
+    bits = F.when(known, F.shiftleft(action_type, 5)).otherwise(F.lit(0))
+    return F.when(action_type.isNull(), F.lit(COUNT_IMPRESSION)).otherwise(bits)
 
 
 def feature_id(kind: str, metric_bits: Column, window: str) -> Column:

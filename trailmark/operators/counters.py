@@ -58,7 +58,8 @@ def daily_sliding(df: DataFrame, keys: list[str], ms: str, count: str) -> DataFr
 
 
 def last_time(df: DataFrame, keys: list[str], ms: str, count: str, days: int = 90) -> DataFrame:
-    """Per event: its time and the count of the `days` days up to its own, by calendar day."""
+    """Per event: its time and the count of the `days` days up to its own, by calendar day. What follows when days run
+    out is in `last_time_expiries`."""
     day = F.floor(F.col(ms) / DAY).cast("bigint")
     rows = df.select(*keys, F.col(ms).alias("last_ms"), F.col(count).alias("__n"), day.alias("__day"))
     per_day = rows.groupBy(*keys, "__day").agg(F.sum("__n").alias("__d"))
@@ -69,6 +70,17 @@ def last_time(df: DataFrame, keys: list[str], ms: str, count: str, days: int = 9
     return rows.select(*keys, "last_ms", (F.col("__before") + F.col("__today")).alias("count"), F.lit(TTL_LAST).alias("ttl"))
 
 
+def last_time_expiries(df: DataFrame, keys: list[str], ms: str, count: str, days: int = 90) -> DataFrame:
+    """(keys, emit_ms, last_ms, count, ttl) of the times at which a key's day leaves the trailing `days` days: the count
+    of the days still in them and the last event by then. A count of zero carries the short time to live."""
+    per_day = df.groupBy(*keys, F.floor(F.col(ms) / DAY).cast("bigint").alias("__day")).agg(F.sum(count).alias("__n"), F.max(ms).alias("__last"))
+    line = Window.partitionBy(*keys).orderBy("__day")
+    n = F.coalesce(F.sum("__n").over(line.rangeBetween(1, days - 1)), F.lit(0))
+    last = F.max("__last").over(line.rangeBetween(0, days - 1))
+    rows = per_day.select(*keys, ((F.col("__day") + days) * DAY).alias("emit_ms"), last.alias("last_ms"), n.alias("count"))
+    return rows.withColumn("ttl", F.when(F.col("count") == 0, TTL_LAST_ZERO).otherwise(TTL_LAST))
+
+
 def popular(df: DataFrame, ts: str, keys: list[str], window: str = "14 days", slide: str = "3 days", least: int = 1000) -> DataFrame:
     """(window_start, window_end, keys, count) of keys seen at least so often in a sliding window."""
     w = F.window(F.col(ts), window, slide)
@@ -119,15 +131,21 @@ LAST_FAMILIES = (
 WINDOWS = ((1, "DAY"), (7, "DAY_7"), (30, "DAY_30"))
 
 
+def _grouping(family: Family) -> list[Column]:
+    """The columns of the group; queries in lower case, as their hash is taken of that."""
+    return [F.lower(c).alias(c) if c == "search_query" else F.col(c) for c in family.group]
+
+
 def _key(family: Family) -> Column:
-    """The store key: the parts of the group, with a mark before a user and before a query."""
+    """The store key of grouped rows: the parts of the group, with a mark before a user and before a query. A query is
+    given by the hex digits of its hash, which is so computed once for each group and not for each event."""
     parts = []
     for name in family.group:
         if name in ("user_id", "log_user_id") and "u" in family.mark:
             parts.append(F.lit(S.MARK + "u"))
         if name == "search_query" and "q" in family.mark:
             parts.append(F.lit(S.MARK + "q"))
-        parts.append(F.col(name))
+        parts.append(S.xxh64_hex(F.col(name)) if name == "search_query" else F.col(name))
     return S.store_key(*parts)
 
 
@@ -138,7 +156,7 @@ def command(count: Column) -> Column:
 def family_counts(df: DataFrame, family: Family, as_of_ms: int) -> DataFrame:
     """Store commands (op, key, field, value, ttl) with a family's daily counts as of one time.
 
-    df: platform_id, ids, os, browser, action_type, ms and count. One conditional sum per window, over one scan.
+    df: platform_id, ids, os, browser, action_type (null: an impression), ms and count. One conditional sum per window, over one scan.
     """
     device = ("os", "browser") if family.device else ()
     end = bucket_end(F.col("ms"), 4 * HOUR)
@@ -146,7 +164,7 @@ def family_counts(df: DataFrame, family: Family, as_of_ms: int) -> DataFrame:
     sums = [
         F.sum(F.when(end > as_of_ms - days * DAY, F.col("count")).otherwise(0)).alias(window) for days, window in WINDOWS
     ]
-    grouped = recent.groupBy(*family.group, *device, S.metric(F.col("action_type")).alias("metric")).agg(*sums)
+    grouped = recent.groupBy(*_grouping(family), *device, S.metric(F.col("action_type")).alias("metric")).agg(*sums)
     each = F.explode(
         F.array(
             *[
@@ -170,7 +188,7 @@ def last_family(df: DataFrame, family: Family, as_of_ms: int, days: int = 90) ->
     """Store commands of a last-time family as of one time: the 90-day count and the last time, or its deletion."""
     day = F.floor(F.col("ms") / DAY)
     inside = day > as_of_ms // DAY - days
-    grouped = df.where(F.col("ms") <= as_of_ms).groupBy(*family.group, S.metric(F.col("action_type")).alias("metric")).agg(
+    grouped = df.where(F.col("ms") <= as_of_ms).groupBy(*_grouping(family), S.metric(F.col("action_type")).alias("metric")).agg(
         F.sum(F.when(inside, F.col("count")).otherwise(0)).alias("n"), F.max("ms").alias("last")
     )
     hours = family.kind.replace("_COUNT", "_HOURS_AGO")

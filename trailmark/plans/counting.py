@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmark import views as V
@@ -23,14 +24,14 @@ AS_OF_MS = 1_706_659_200_000  # 2024-01-31 00:00 UTC
 
 
 def counted_events(spark, sf_dir) -> DataFrame:
-    """Events as counter input: ids, query, agent families, action type (0 for views), ms and count."""
+    """Events as counter input: ids, query (in either case), agent families, action type (null for views), ms, count."""
     agent = F.get(F.array(*[F.lit(a) for a in AGENTS]), (F.col("log_user_id").cast("int") % len(AGENTS)))
-    kind = F.when(F.col("event_type").isin("click", "purchase", "signup"), V.action_type()).otherwise(0)
+    kind = F.when(F.col("event_type").isin("click", "purchase", "signup"), V.action_type())
     return V.events(spark, sf_dir).where("event_type <> 'error'").select(
         "platform_id", "event_id", "log_user_id",
         F.concat(F.lit("U"), F.col("log_user_id")).alias("user_id"),
         "content_id",
-        F.concat(F.lit("query "), (F.col("content_id").cast("int") % 20).cast("string")).alias("search_query"),
+        F.concat(F.when(F.col("event_id") % 2 == 0, "Query ").otherwise("query "), (F.col("content_id").cast("int") % 20).cast("string")).alias("search_query"),
         S.os_family(agent).alias("os"), S.browser_family(agent).alias("browser"),
         kind.alias("action_type"), V.millis(F.col("rowtime")).alias("ms"), "rowtime",
         C.measure(F.lit(0)).alias("count"),
@@ -40,10 +41,10 @@ def counted_events(spark, sf_dir) -> DataFrame:
 _EV = """ce AS (
   SELECT CAST(1 AS BIGINT) AS platform_id, event_id, CAST(user_id AS VARCHAR) AS log_user_id,
          'U' || CAST(user_id AS VARCHAR) AS user_id, json_extract_string(props, '$.k') AS content_id,
-         'query ' || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 20 AS VARCHAR) AS search_query,
+         CASE WHEN event_id % 2 = 0 THEN 'Query ' ELSE 'query ' END || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 20 AS VARCHAR) AS search_query,
          ['Windows', 'iOS', 'Linux', 'Other'][1 + CAST(user_id % 4 AS INTEGER)] AS os,
          ['Chrome', 'Safari', 'Firefox', 'Other'][1 + CAST(user_id % 4 AS INTEGER)] AS browser,
-         CASE event_type WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 WHEN 'signup' THEN 15 ELSE 0 END AS action_type,
+         CASE event_type WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 WHEN 'signup' THEN 15 END AS action_type,
          epoch_us(ts) // 1000 AS ms, ts AS rowtime, CAST(1 AS BIGINT) AS count
   FROM events WHERE event_type <> 'error'
 )"""
@@ -87,6 +88,17 @@ def last_query(spark, sf_dir):
     return C.last_time(counted_events(spark, sf_dir), ["log_user_id", "content_id"], "ms", "count")
 
 
+@register(
+    "a9_last_time_expiries",
+    f"""WITH {_EV}, d AS (SELECT log_user_id, content_id, ms // 86400000 AS day, sum(count) AS n, max(ms) AS last FROM ce GROUP BY ALL)
+SELECT log_user_id, content_id, (day + 90) * 86400000 AS emit_ms, last_ms, count, CASE WHEN count = 0 THEN 259200 ELSE 8035200 END AS ttl FROM (
+  SELECT a.log_user_id, a.content_id, a.day, max(b.last) AS last_ms, CAST(coalesce(sum(CASE WHEN b.day > a.day THEN b.n END), 0) AS BIGINT) AS count
+  FROM d a JOIN d b ON a.log_user_id = b.log_user_id AND a.content_id = b.content_id AND b.day BETWEEN a.day AND a.day + 89 GROUP BY ALL)""",
+)
+def expiry_query(spark, sf_dir):
+    return C.last_time_expiries(counted_events(spark, sf_dir), ["log_user_id", "content_id"], "ms", "count")
+
+
 @register(
     "a11_popular_queries",
     f"""WITH {_EV}, w AS (
@@ -109,7 +121,17 @@ def top_query(spark, sf_dir):
 
 
 def _metric_sql() -> str:
-    return "CASE WHEN action_type > 1 THEN action_type * 32 ELSE 0 END"
+    """Bits of a metric: an impression without an action is number 1, an action has its type's number."""
+    return "32 * coalesce(action_type, 1)"
+
+
+#: The hashes of the twenty queries in lower case, from the library, as DuckDB has no XXH64.
+_HASH_SQL = "CAST(" + str([format(xxhash.xxh64_intdigest(f"query {k}", 0), "x") for k in range(20)]) + " AS VARCHAR[])[1 + CAST(substr(search_query, 7) AS INTEGER)]"
+
+
+def _group_sql(f: C.Family) -> tuple[str, str]:
+    """The columns of a family's group, and their names."""
+    return ", ".join("lower(search_query) AS search_query" if c == "search_query" else c for c in f.group), ", ".join(f.group)
 
 
 def _key_sql(family: C.Family) -> str:
@@ -119,13 +141,13 @@ def _key_sql(family: C.Family) -> str:
             parts.append("chr(29) || 'u'")
         if name == "search_query" and "q" in family.mark:
             parts.append("chr(29) || 'q'")
-        parts.append(f"CAST({name} AS VARCHAR)")
+        parts.append(_HASH_SQL if name == "search_query" else f"CAST({name} AS VARCHAR)")
     return " || chr(31) || ".join(parts)
 
 
 def _family_sql(f: C.Family) -> str:
     device = ", os, browser" if f.device else ""
-    group = ", ".join(f.group) + device
+    group = _group_sql(f)[0] + device
     end = f"((ms // {4 * C.HOUR}) * {4 * C.HOUR} + {4 * C.HOUR})"
     parts = []
     for days, window in C.WINDOWS:
@@ -144,7 +166,7 @@ def _family_sql(f: C.Family) -> str:
 
 
 def _last_sql(f: C.Family) -> str:
-    group = ", ".join(f.group)
+    group = _group_sql(f)[0]
     count_bits = S.TYPE_BITS[f.kind] | S.WINDOW_BITS["DAY_90"]
     hours_bits = S.TYPE_BITS[f.kind.replace("_COUNT", "_HOURS_AGO")]
     ttl = f"CASE WHEN n = 0 THEN {C.TTL_LAST_ZERO} ELSE {C.TTL_LAST} END"
