@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from trailmark import schemas
 from trailmark.functions import scalars as S
@@ -64,60 +67,110 @@ def set_log_timestamp(df: DataFrame, event_time: Column) -> DataFrame:
 
 
 def clear_user_id(df: DataFrame) -> DataFrame:
-    """Without user ids, at the top and in every nested record that has user_info."""
+    """Without user ids: at the top and in every nested record that has user_info, arrays of records included."""
 
-    def strip(c: Column, kind: StructType) -> Column:
+    def strip(c: Column, kind: DataType) -> Column:
+        if "user_info" not in kind.simpleString():
+            return c
+        if isinstance(kind, ArrayType):
+            return F.transform(c, lambda x: strip(x, kind.elementType))
         for f in kind.fields:
             if f.name == "user_info":
                 c = c.withField("user_info", c["user_info"].withField("user_id", F.lit("")))
-            elif isinstance(f.dataType, StructType) and "user_info" in f.dataType.simpleString():
+            elif "user_info" in f.dataType.simpleString():
                 c = c.withField(f.name, strip(c[f.name], f.dataType))
         return c
 
-    out = df
-    for f in df.schema.fields:
-        if f.name == "user_info":
-            out = out.withColumn(f.name, F.col(f.name).withField("user_id", F.lit("")))
-        elif isinstance(f.dataType, StructType) and "user_info" in f.dataType.simpleString():
-            out = out.withColumn(f.name, strip(F.col(f.name), f.dataType))
-    return out
+    return df.select(
+        *[
+            F.col(f.name).withField("user_id", F.lit("")).alias(f.name) if f.name == "user_info" else strip(F.col(f.name), f.dataType).alias(f.name)
+            for f in df.schema.fields
+        ]
+    )
 
 
 #: Matrix headers that have a column of their own.
 MATRIX_FIELDS = {"contentId": ("content_id", "string"), "retrievalRank": ("retrieval_rank", "bigint"), "retrievalScore": ("retrieval_score", "double")}
 
 
-def matrix_insertions(headers: Column, matrix: Column) -> Column:
-    """Insertions from a header row and value rows; other headers are properties (a JSON object). A row and the
-    headers are matched as far as both go."""
+def matrix_insertions(headers: Column, matrix: Column, properties: Column) -> Column:
+    """Insertions from a header row, value rows and the rows' properties (JSON, by row). A row and the headers are
+    matched as far as both go."""
 
     def one(row: Column, index: Column) -> Column:
         n = F.least(F.size(headers), F.size(row))
         cells = F.map_from_arrays(F.slice(headers, F.lit(1), n), F.slice(row, F.lit(1), n))
-        props = F.map_filter(cells, lambda k, v: ~k.isin(list(MATRIX_FIELDS)))
         return F.struct(
             F.lit("").alias("insertion_id"),
-            F.coalesce(F.get(F.array(F.try_element_at(cells, F.lit("contentId"))), F.lit(0)), F.lit("")).alias("content_id"),
+            F.coalesce(F.try_element_at(cells, F.lit("contentId")), F.lit("")).alias("content_id"),
             index.cast("bigint").alias("position"),
             F.try_element_at(cells, F.lit("retrievalRank")).cast("bigint").alias("retrieval_rank"),
             F.try_element_at(cells, F.lit("retrievalScore")).cast("double").alias("retrieval_score"),
-            F.to_json(props).alias("properties"),
+            F.get(properties, index).alias("properties"),
         )
 
     return F.transform(matrix, one)
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def _nested_rows(headers: pd.Series, matrix: pd.Series) -> pd.Series:
+    """The properties of each row of a matrix whose headers go down levels."""
+
+    def one(names, rows):
+        out = []
+        for cells in rows:
+            top: dict = {}
+            for name, cell in zip(names, cells, strict=False):
+                if name in MATRIX_FIELDS:
+                    continue
+                *path, leaf = name.rstrip(".").split(".")
+                at = top
+                for part in path:
+                    if not isinstance(at.get(part), dict):
+                        at[part] = {}
+                    at = at[part]
+                at[leaf] = cell
+            out.append(json.dumps(top, separators=(",", ":"), ensure_ascii=False))
+        return out
+
+    return pd.Series([None if names is None or rows is None else one(names, rows) for names, rows in zip(headers, matrix, strict=True)])
+
+
+def _flat_rows(headers: Column, matrix: Column) -> Column:
+    """The same where no header has a dot, without leaving the JVM."""
+
+    def one(row: Column) -> Column:
+        n = F.least(F.size(headers), F.size(row))
+        cells = F.map_from_arrays(F.slice(headers, F.lit(1), n), F.slice(row, F.lit(1), n))
+        return F.to_json(F.map_filter(cells, lambda k, v: ~k.isin(list(MATRIX_FIELDS))))
+
+    return F.transform(matrix, one)
+
+
 def restructure(logs: DataFrame) -> DataFrame:
-    """Delivery logs with their insertion matrix turned into request insertions; the matrix goes."""
+    """Delivery logs with their insertion matrix turned into request insertions; the matrix goes. Headers other than
+    contentId, retrievalRank and retrievalScore are properties (a JSON object); each dot in one goes a level down, and
+    only matrices with such headers are handed to Python."""
     r = F.col("request")
-    has = F.size(F.coalesce(r["insertion_matrix"], F.array().cast("array<array<string>>"))) > 0
-    found = F.when(has, matrix_insertions(r["insertion_matrix_headers"], r["insertion_matrix"])).otherwise(r["insertion"])
-    request = r.withField("insertion", found).withField("insertion_matrix", F.lit(None).cast("array<array<string>>"))
-    return logs.withColumn("request", request.withField("insertion_matrix_headers", F.lit(None).cast("array<string>")))
+    none = F.array().cast("array<array<string>>")
+    has = F.size(F.coalesce(r["insertion_matrix"], none)) > 0
+    dotted = has & F.exists(r["insertion_matrix_headers"], lambda h: h.contains("."))
+    nested = _nested_rows(F.when(dotted, r["insertion_matrix_headers"]), F.when(dotted, r["insertion_matrix"]))
+    rows = logs.withColumn("__nested", nested)
+    properties = F.when(dotted, F.col("__nested")).otherwise(_flat_rows(r["insertion_matrix_headers"], r["insertion_matrix"]))
+    rows = rows.withColumn("__properties", F.when(has, properties))
+    made = matrix_insertions(r["insertion_matrix_headers"], r["insertion_matrix"], F.col("__properties"))
+    request = r.withField("insertion", F.when(has, made).otherwise(r["insertion"])).withField("insertion_matrix", F.lit(None).cast("array<array<string>>"))
+    rows = rows.withColumn("request", request.withField("insertion_matrix_headers", F.lit(None).cast("array<string>")))
+    return rows.drop("__nested", "__properties")
 
 
 def fix_response(logs: DataFrame) -> DataFrame:
-    """Response insertions without an id get request, position and content joined by '-'."""
+    """Response insertions without an id get request, position and content joined by '-'.
+
+    SDK logs that have response insertions only hold the request's in them: those become the request's insertions,
+    without a position, and the response keeps id, content and position.
+    """
     new = F.transform(
         F.col("response.insertion"),
         lambda i: i.withField(
@@ -128,22 +181,57 @@ def fix_response(logs: DataFrame) -> DataFrame:
             ).otherwise(i["insertion_id"]),
         ),
     )
-    return logs.withColumn("response", F.col("response").withField("insertion", new))
+    fixed = logs.withColumn("response", F.col("response").withField("insertion", new))
+    n = lambda side: F.coalesce(F.size(F.col(f"{side}.insertion")), F.lit(0))
+    merged = F.coalesce((F.col("execution.execution_server") == "SDK") & (n("request") <= 0) & (n("response") > 0), F.lit(False))
+    kind = logs.schema["response"].dataType["insertion"].dataType.elementType
+    given = F.transform("response.insertion", lambda i: i.withField("position", F.lit(0).cast("bigint")))
+    blank = {"string": F.lit(""), "bigint": F.lit(0), "double": F.lit(0.0)}
+    bare = F.transform(
+        "response.insertion",
+        lambda i: F.struct(
+            *[
+                (i[f.name] if f.name in ("insertion_id", "content_id", "position") else blank[f.dataType.simpleString()].cast(f.dataType)).alias(f.name)
+                for f in kind.fields
+            ]
+        ),
+    )
+    return fixed.withColumns(
+        {
+            "request": F.col("request").withField("insertion", F.when(merged, given).otherwise(F.col("request.insertion"))),
+            "response": F.col("response").withField("insertion", F.when(merged, bare).otherwise(F.col("response.insertion"))),
+        }
+    )
 
 
 def log_user_users(batches: DataFrame) -> DataFrame:
-    """(platform_id, log_user_id, user_id, event_api_timestamp) of every record that has both ids, its own values
-    before the batch's."""
-    out = None
-    for record in ("user", "view", "impression", "action"):
-        e = F.col("e")
-        rows = batches.select("platform_id", "user_info", "timing", F.explode(record).alias("e")).select(
-            S.merged(e["platform_id"], F.col("platform_id"), 0).alias("platform_id"),
-            F.lower(S.merged(e["user_info"]["log_user_id"], F.col("user_info.log_user_id"), "")).alias("log_user_id"),
-            S.merged(e["user_info"]["user_id"], F.col("user_info.user_id"), "").alias("user_id"),
-            S.merged(e["timing"]["event_api_timestamp"], F.col("timing.event_api_timestamp"), 0).alias("event_api_timestamp"),
+    """(platform_id, log_user_id, user_id, event_api_timestamp) of the batch and of every record of any type whose own
+    user has both ids; platform and time are the batch's where the record has none. One scan of the batches."""
+    top = F.struct(F.lit(0).cast("bigint").alias("platform_id"), F.col("user_info").alias("user_info"), F.lit(0).cast("bigint").alias("ms"))
+
+    def of(record: str) -> Column:
+        if record == "delivery_log":
+            return F.transform(
+                record,
+                lambda e: F.struct(
+                    S.merged(e["platform_id"], e["request"]["platform_id"], 0).alias("platform_id"),
+                    e["request"]["user_info"].alias("user_info"),
+                    e["request"]["timing"]["event_api_timestamp"].alias("ms"),
+                ),
+            )
+        return F.transform(
+            record, lambda e: F.struct(e["platform_id"].alias("platform_id"), e["user_info"].alias("user_info"), e["timing"]["event_api_timestamp"].alias("ms"))
         )
-        out = rows if out is None else out.unionByName(rows)
+
+    empty = F.array().cast(f"array<struct<platform_id:bigint,user_info:{schemas.USER_INFO.replace(' ', '').lower()},ms:bigint>>")
+    every = F.concat(F.array(top), *[F.coalesce(of(r), empty) for r in schemas.RECORDS if r in batches.columns])
+    rows = batches.select(F.col("platform_id").alias("p"), F.col("timing.event_api_timestamp").alias("t"), F.explode(every).alias("e"))
+    out = rows.select(
+        S.merged(F.col("e.platform_id"), F.col("p"), 0).alias("platform_id"),
+        F.coalesce("e.user_info.log_user_id", F.lit("")).alias("log_user_id"),
+        F.coalesce("e.user_info.user_id", F.lit("")).alias("user_id"),
+        S.merged(F.col("e.ms"), F.col("t"), 0).alias("event_api_timestamp"),
+    )
     return out.where("log_user_id <> '' AND user_id <> ''")
 
 

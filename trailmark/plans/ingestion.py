@@ -98,9 +98,58 @@ for _name, _where in {
     )(functools.partial(lambda spark, sf_dir, n: _typed(spark, sf_dir, n, f"{n}_id"), n=_name))
 
 
-@register("p15_log_user_users", f"WITH {_BATCH} SELECT platform_id, log_user_id, user_id, event_ms AS event_api_timestamp FROM b")
+def mixed_batches(spark, sf_dir) -> DataFrame:
+    """One batch for each event with one record, of every type in turn; two records of three have users of their own,
+    half of them times, a fifth platforms."""
+    e = V.events(spark, sf_dir)
+    ident = F.col("event_id").cast("string")
+    timing = lambda t: F.struct(F.lit(0), t, F.lit(0)).cast(schemas.TIMING)
+    blank = F.struct(F.lit(""), F.lit(""), F.lit(False), F.lit(False)).cast(schemas.USER_INFO)
+    own_user = F.struct(F.concat(F.lit("O"), ident), F.concat(F.lit("own"), "log_user_id"), F.lit(False), F.lit(False)).cast(schemas.USER_INFO)
+    own = {
+        "platform_id": F.when(F.col("event_id") % 5 == 0, 2).otherwise(0),
+        "timing": timing(F.when(F.col("event_id") % 2 == 0, V.millis(F.col("rowtime"))).otherwise(0)),
+        "user_info": F.when(F.col("event_id") % 3 != 0, own_user).otherwise(blank),
+    }
+    arrays = []
+    for n, (name, kind) in enumerate(schemas.RECORDS.items()):
+        one = _record(kind, request=_record(schemas.REQUEST, **own)) if name == "delivery_log" else _record(kind, **own)
+        arrays.append(F.when(F.col("event_id") % len(schemas.RECORDS) == n, F.array(one)).otherwise(F.array().cast(f"array<{kind}>")).alias(name))
+    user = F.struct(F.concat(F.lit("U"), "log_user_id"), F.concat(F.lit("LU"), "log_user_id"), F.lit(False), F.lit(False))
+    return e.select(
+        F.lit(1).cast("bigint").alias("platform_id"), user.cast(schemas.USER_INFO).alias("user_info"),
+        timing(F.unix_millis(F.date_trunc("day", "rowtime").cast("timestamp"))).alias("timing"),
+        F.struct(F.lit("WEB"), F.lit("PRODUCTION")).cast(schemas.CLIENT).alias("client_info"), *arrays,
+    )
+
+
+@register(
+    "p15_log_user_users",
+    """WITH e AS (SELECT event_id, user_id, epoch_us(ts) // 1000 AS ms, epoch_us(date_trunc('day', ts)) // 1000 AS day FROM events)
+SELECT CAST(1 AS BIGINT) AS platform_id, 'LU' || user_id AS log_user_id, 'U' || user_id AS user_id, day AS event_api_timestamp FROM e
+UNION ALL SELECT CASE WHEN event_id % 5 = 0 THEN 2 ELSE 1 END, 'own' || user_id, 'O' || event_id, CASE WHEN event_id % 2 = 0 THEN ms ELSE day END
+FROM e WHERE event_id % 3 <> 0""",
+)
 def user_pairs(spark, sf_dir):
-    return ingest.log_user_users(batches(spark, sf_dir))
+    return ingest.log_user_users(mixed_batches(spark, sf_dir))
+
+
+@register(
+    "p5_cleared_records",
+    """SELECT ['user', 'cohort_membership', 'view', 'auto_view', 'delivery_log', 'impression', 'action', 'diagnostics'][1 + event_id % 8] AS record,
+       'LU' || user_id AS batch_log_user_id, '' AS batch_user_id, CASE WHEN event_id % 3 <> 0 THEN 'own' || user_id ELSE '' END AS log_user_id, '' AS user_id FROM events""",
+)
+def cleared_records(spark, sf_dir):
+    rows = ingest.clear_user_id(mixed_batches(spark, sf_dir))
+
+    def named(record):
+        own = lambda x: (x["request"] if record == "delivery_log" else x)["user_info"]
+        return F.transform(record, lambda x: F.struct(F.lit(record).alias("record"), own(x).alias("u")))
+
+    each = F.explode(F.concat(*[named(r) for r in schemas.RECORDS]))
+    return rows.select(F.col("user_info.log_user_id").alias("batch_log_user_id"), F.col("user_info.user_id").alias("batch_user_id"), each.alias("e")).select(
+        "e.record", "batch_log_user_id", "batch_user_id", "e.u.log_user_id", "e.u.user_id"
+    )
 
 
 @register("p5_clear_user_id", "SELECT 'LU' || CAST(user_id AS VARCHAR) AS log_user_id, '' AS user_id, count(*) AS n FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events WHERE event_type <> 'error') GROUP BY 1")
@@ -115,10 +164,10 @@ def delivery_logs(spark, sf_dir) -> DataFrame:
     uniq = lines.select("l_orderkey", "l_partkey").distinct()
     cell = F.struct("l_partkey").alias("x")
     grouped = uniq.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(cell)).alias("xs"))
-    row = F.transform("xs", lambda x: F.array(x["l_partkey"].cast("string"), (x["l_partkey"] % 10).cast("string"), F.lit("red")))
+    row = F.transform("xs", lambda x: F.array(x["l_partkey"].cast("string"), (x["l_partkey"] % 10).cast("string"), F.lit("red"), F.lit("s"), (x["l_partkey"] % 3).cast("string")))
     request = _record(
         schemas.REQUEST, platform_id=F.lit(9), request_id=F.col("l_orderkey").cast("string"),
-        insertion_matrix_headers=F.array(F.lit("contentId"), F.lit("retrievalRank"), F.lit("color")), insertion_matrix=row,
+        insertion_matrix_headers=F.array(*[F.lit(h) for h in ("contentId", "retrievalRank", "color", "size.eu.men", "size.us")]), insertion_matrix=row,
     )
     response = F.transform(
         "xs", lambda x, i: _record(schemas.INSERTION, content_id=x["l_partkey"].cast("string"), position=i.cast("bigint"))
@@ -145,7 +194,8 @@ _PARTS = """parts AS (SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION
 @register(
     "p6_restructured_insertions",
     f"""WITH {_PARTS} SELECT CAST(1 AS BIGINT) AS platform_id, CAST(l_orderkey AS VARCHAR) AS request_id, CAST(l_partkey AS VARCHAR) AS content_id,
-pos AS position, l_partkey % 10 AS retrieval_rank, '{{"color":"red"}}' AS properties FROM parts""",
+pos AS position, l_partkey % 10 AS retrieval_rank,
+'{{"color":"red","size":{{"eu":{{"men":"s"}},"us":"' || (l_partkey % 3) || '"}}}}' AS properties FROM parts""",
 )
 def restructured(spark, sf_dir):
     logs = ingest.restructure(delivery_logs(spark, sf_dir))
@@ -161,6 +211,26 @@ def fixed(spark, sf_dir):
     return ingest.insertion_ids(ingest.fix_response(delivery_logs(spark, sf_dir)), "response")
 
 
+@register(
+    "p7_split_sdk_logs",
+    f"""WITH {_PARTS} SELECT CAST(l_orderkey AS VARCHAR) AS request_id, CAST(l_partkey AS VARCHAR) AS content_id, pos AS position,
+CASE WHEN l_orderkey % 2 = 0 THEN '' ELSE 'p' END AS response_properties, CASE WHEN l_orderkey % 2 = 0 THEN 'p' END AS request_properties,
+CASE WHEN l_orderkey % 2 = 0 THEN 0 END AS request_position FROM parts""",
+)
+def split_sdk_logs(spark, sf_dir):
+    logs = delivery_logs(spark, sf_dir)
+    sdk = F.when(F.col("request.request_id").cast("bigint") % 2 == 0, "SDK").otherwise("API")
+    held = F.transform("response.insertion", lambda i: i.withField("properties", F.lit("p")))
+    logs = logs.withColumns({"response": F.col("response").withField("insertion", held), "execution": F.col("execution").withField("execution_server", sdk)})
+    fixed = ingest.fix_response(logs)
+    rows = fixed.select(F.col("request.request_id").alias("request_id"), F.col("request.insertion").alias("asked"), F.posexplode("response.insertion").alias("n", "i"))
+    asked = F.get("asked", F.col("n"))
+    return rows.select(
+        "request_id", "i.content_id", "i.position", F.col("i.properties").alias("response_properties"),
+        asked["properties"].alias("request_properties"), asked["position"].alias("request_position"),
+    )
+
+
 @register("p16_delivery_log_ids", "SELECT DISTINCT CAST(1 AS BIGINT) AS platform_id, CAST(l_orderkey AS VARCHAR) AS request_id, '' AS view_id, '' AS client_request_id, '' AS log_user_id FROM lineitem")
 def log_ids(spark, sf_dir):
     return ingest.delivery_ids(delivery_logs(spark, sf_dir))
@@ -296,7 +366,22 @@ def java_hash(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", S.java_hash_code(F.col("p_name")).alias("h"))
 
 
-@register("fn_query_hash")
+def _hash_rows() -> list[str]:
+    """(type, hash, hex digits) of the part types in lower case."""
+    import xxhash
+
+    out = []
+    for kind in ("economy", "standard", "small", "medium", "large", "promo"):
+        n = xxhash.xxh64_intdigest(kind, 0)
+        out.append(f"('{kind}', {n - (1 << 64) if n >> 63 else n}, '{n:x}')")
+    return out
+
+
+@register(
+    "fn_query_hash",
+    # from the library, as DuckDB has no XXH64
+    "SELECT DISTINCT lower(p_type) AS q, h.hash, h.hex FROM part JOIN (VALUES " + ", ".join(_hash_rows()) + ") h(q, hash, hex) ON h.q = lower(p_type)",
+)
 def query_hash(spark, sf_dir):
     return table(spark, sf_dir, "part").select(F.lower("p_type").alias("q")).distinct().select("q", S.query_hash(F.col("q")).alias("hash"), S.xxh64_hex(F.col("q")).alias("hex"))
 
@@ -328,10 +413,13 @@ def json_messages(spark, sf_dir):
     return sinks.message_records(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), F.col("o_orderkey"))
 
 
-@register("snk10_user_key_bytes", "SELECT c_custkey, lower(hex(c_custkey % 256)) AS first_byte, length(c_name) + 8 AS n FROM customer WHERE c_custkey % 256 > 15")
+@register(
+    "snk10_user_key_bytes",
+    "SELECT c_custkey, array_to_string(list_transform(range(0, 8), lambda k: printf('%02x', (c_custkey >> CAST(8 * k AS BIGINT)) & 255)), '') || lower(hex(encode(c_name))) AS key FROM customer",
+)
 def key_bytes(spark, sf_dir):
-    rows = table(spark, sf_dir, "customer").where("c_custkey % 256 > 15").select("c_custkey", S.user_key_bytes(F.col("c_custkey"), F.col("c_name")).alias("k"))
-    return rows.select("c_custkey", F.lower(F.hex(F.substring("k", 1, 1))).alias("first_byte"), F.octet_length("k").cast("bigint").alias("n"))
+    key = S.user_key_bytes(F.col("c_custkey"), F.col("c_name"))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.lower(F.hex(key)).alias("key"))
 
 
 @register("snk12_lake_upsert", "SELECT log_user_id, event_id, dt FROM (SELECT CAST(user_id AS VARCHAR) AS log_user_id, event_id, strftime(ts, '%Y-%m-%d') AS dt, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1")
