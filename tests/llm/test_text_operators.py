@@ -172,6 +172,61 @@ def test_html_odd_pages(html, text):
     assert html_extract.main_text(html_extract.parse(html)[0]) == text
 
 
+def test_names_inside_an_article():
+    page = """<article><div class="related-work"><p>Earlier work</p></div><div id="share"><p>Share prices fell</p></div>
+<p class="social security">Pensions</p><menu><li>Soup</menu><h2 id="notice-1">On notice</h2><section class="social-policy">Policy</section>
+<math>x+1</math><div class="ad">Buy</div><div class="comments"><p>First!</p></div></article>"""
+    expected = "Earlier work\nShare prices fell\nPensions\nSoup\nOn notice\nPolicy\nx+1"
+    assert html_extract.main_text(html_extract.parse(page)[0]) == expected
+
+
+def test_a_teaser_card_is_not_the_page():
+    page = "<article><p>See also</p></article><div class=story><p>" + "A long story. " * 20 + "</p></div>"
+    assert html_extract.main_text(html_extract.parse(page)[0]) == "See also\n" + ("A long story. " * 20).strip()
+
+
+def test_style_tree_is_brute_force(spark):
+    """Importance by its definition, page by page, on small hosts; what three pages repeat goes, stories stay."""
+    import math
+    from collections import Counter, defaultdict
+
+    rnd = random.Random(9)
+    rows = []
+    for h in range(3):
+        for k in range(3 + 4 * h):
+            extra = "<ul><li>x</ul>" if rnd.random() < 0.4 else ""
+            share = '<div class="share"><p>Tell your friends</p></div>'
+            rows.append((len(rows), f"http://h{h}/{k}", f"<div class=top>Menu of h{h}</div>{extra}<article><p>Story {h} {k}</p>{share}</article>"))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {(r.host, r.path): (r.pages, r.importance) for r in html_extract.style_tree(pages).collect()}
+    shown, styles, parents = defaultdict(Counter), defaultdict(Counter), {}
+    on = defaultdict(set)
+    for k, url, html in rows:
+        blocks, arrangements = html_extract.parse(html)
+        name = url.split("/")[2]
+        for path, parent, text in {(b.path, b.parent, b.text) for b in blocks}:
+            shown[name, path][text] += 1
+            on[name, path].add(k)
+            parents[name, path] = parent
+        for path, style in set(arrangements):
+            styles[name, path][style] += 1
+    assert set(got) == set(shown)
+    for key, texts in shown.items():
+        m = len(on[key])
+        content = 1 - sum(math.log(c) for c in texts.values()) / len(texts) / math.log(m) if m > 1 else 1.0
+        found = styles[key[0], parents[key]]
+        total = sum(found.values())
+        entropy = 0.0
+        if found:
+            entropy = -sum(c / total * math.log(c / total) for c in found.values()) / math.log(total) if total > 1 else 1.0
+        weight = 0.9 ** len(found)
+        assert got[key][0] == m
+        assert abs(got[key][1] - ((1 - weight) * entropy + weight * content)) < 1e-9
+    texts = {r.page_id: r.text for r in html_extract.extract(pages).collect()}
+    for k, url, _ in rows:
+        assert texts[k] == f"Story {url[8]} {url[10:]}"
+
+
 def test_site_style_tree_removes_what_a_host_repeats(spark):
     rows = [(k, f"https://h.example/{k}", f"<div class=top>Welcome to us</div><div class=body>Story {k} of many</div>") for k in range(20)]
     rows += [(100 + k, "https://other.example/", "<div class=top>Welcome to us</div>") for k in range(20)] + [(200, None, None), (200, None, None)]

@@ -8,9 +8,13 @@ importance combines both: (1 - g^l) presentation + g^l content, for l arrangemen
 LEAST are removed from every page of the host.
 
 Marked-up noise needs no statistics: menus, page headers and footers, sidebars, notices, adverts, forms, scripts,
-styles and reader comments are known by their element, role, class or id. Where a page has an article (else a main)
-element, its text is the main text; paragraphs and headings in it are always kept, as copies and repeated lines of
-articles would otherwise pass for a template. Exact copies of a page count once in the tree.
+styles and reader comments are known by their element or role, and around the article by a name in their class or id.
+Inside an article (or main) a name alone removes an element only if it is a container and the name is its whole class
+or id and says advert, comments, menu or the like; names that articles use as well (share, related, social, notice)
+only make the element one that the tree may remove. Other paragraphs and headings of an article are always kept, as
+copies and repeated lines of articles would otherwise pass for a template. Where the article (else main) holds at least
+SHARE of a page's text, that is the main text, otherwise (a teaser card, say) the whole body is. Exact copies of a page
+count once in the tree.
 """
 
 from __future__ import annotations
@@ -27,8 +31,11 @@ from pyspark.sql import functions as F
 
 from trailmark.llm.common import table, written
 
-#: Importance below which a branch is removed, the weight of content, and the different pages a path must be on.
-LEAST, DECAY, PAGES = 0.2, 0.9, 10
+#: Importance below which a branch is removed, the weight of content, and the different pages a path must be on (below
+#: three, two copies of one article would be a template).
+LEAST, DECAY, PAGES = 0.2, 0.9, 3
+#: Share of a page's text that an article must hold to be taken for the page's main text.
+SHARE = 0.25
 #: Removed paths up to which they are broadcast (about 5 MB); more are joined by host.
 BROADCAST_PATHS = 200_000
 
@@ -46,9 +53,11 @@ _BLOCK = frozenset(
 )
 _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 _NOISE_TAGS = frozenset(
-    "nav footer aside form script style noscript template iframe svg canvas object select button textarea dialog menu"
-    " head search fieldset input label option noframes math audio video".split()
+    "nav footer aside form script style noscript template iframe svg canvas object select button textarea dialog"
+    " head search fieldset input label option noframes audio video".split()
 )
+#: Noise around an article, but lists and words of its own within.
+_OUTER_TAGS = frozenset("header menu".split())
 _NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu form".split())
 _COMMENTS = frozenset("comment comments disqus replies reply respond commentlist".split())
 _NOISE_NAMES = _COMMENTS | frozenset(
@@ -59,6 +68,13 @@ _NOISE_NAMES = _COMMENTS | frozenset(
 )
 #: Noise only outside an article, whose own header holds its title.
 _OUTER_NAMES = frozenset("header banner head".split())
+#: Names that inside an article are noise too, as the whole of a container's class or id; the other names are not, but
+#: lift the exemption from the tree.
+_INNER_NAMES = _COMMENTS | frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr newsletter nav navbar"
+    " navigation breadcrumb breadcrumbs sidebar pagination pager".split()
+)
+_CONTAINERS = frozenset("div section aside ul ol header figure table details center".split())
 #: An element of the first kind is closed when one of the second begins.
 _CLOSES = {
     "p": _BLOCK - {"option"},
@@ -75,37 +91,42 @@ _WALLS = frozenset("table td th ul ol dl div section article main body".split())
 
 
 class _Node:
-    """An open element: tag, path hash, whether it is noise, inside an article or main, and its children's tags."""
+    """An open element: tag, path hash, whether it is noise, inside an article or main, prose that the tree may not
+    remove, or suspect by a name; and its children's tags."""
 
-    __slots__ = ("tag", "path", "noise", "article", "main", "prose", "children")
+    __slots__ = ("tag", "path", "noise", "article", "main", "prose", "suspect", "children")
 
-    def __init__(self, tag: str, path: int, noise: bool, article: bool, main: bool, prose: bool):
+    def __init__(self, tag: str, path: int, noise: bool, article: bool, main: bool, prose: bool, suspect: bool):
         self.tag, self.path, self.noise = tag, path, noise
-        self.article, self.main, self.prose = article, main, prose
+        self.article, self.main, self.prose, self.suspect = article, main, prose, suspect
         self.children: list[str] = []
 
 
-def _is_noise(tag: str, attributes: str, inside: bool) -> tuple[bool, str]:
-    """Whether an element is noise by its markup, and its classes."""
-    if tag in _NOISE_TAGS or (tag == "header" and not inside):
-        return True, ""
+def _is_noise(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, str]:
+    """Whether an element is noise by its markup, whether a name makes it suspect, and its classes."""
+    if tag in _NOISE_TAGS or (tag in _OUTER_TAGS and not inside):
+        return True, True, ""
     if not attributes.strip():
-        return False, ""
-    classes, names = "", set()
+        return False, False, ""
+    classes, names, whole = "", set(), set()
     for m in _ATTRIBUTE.finditer(attributes):
         key = m[1].lower()
         value = (m[2] or m[3] or m[4] or "").lower()
         if key == "role" and value in _NOISE_ROLES:
-            return True, ""
+            return True, True, ""
         if key in ("class", "id"):
             names.update(_NAME.findall(value))
+            whole.add(value.strip())
             if key == "class":
                 classes = value
     if tag in ("html", "body", "main"):
-        return False, classes
+        return False, False, classes
     if tag == "article":
-        return bool(names & _COMMENTS), classes
-    return bool(names & _NOISE_NAMES or (not inside and names & _OUTER_NAMES)), classes
+        return bool(whole & _COMMENTS), False, classes
+    if inside:
+        return tag in _CONTAINERS and bool(whole & _INNER_NAMES), bool(names & _NOISE_NAMES), classes
+    known = names & (_NOISE_NAMES | _OUTER_NAMES)
+    return bool(known) and tag not in _PROSE, bool(known), classes
 
 
 class Block:
@@ -125,7 +146,7 @@ def parse(html: str | None) -> tuple[list[Block], list[tuple[int, int]]]:
     """
     if not html:
         return [], []
-    root = _Node("", 0, False, False, False, False)
+    root = _Node("", 0, False, False, False, False, False)
     stack, blocks, styles, held = [root], [], [], []
 
     def flush() -> None:
@@ -176,7 +197,7 @@ def parse(html: str | None) -> tuple[list[Block], list[tuple[int, int]]]:
                 break
         up = stack[-1]
         inside = up.article or up.main
-        noise, classes = _is_noise(tag, attributes, inside)
+        noise, suspect, classes = _is_noise(tag, attributes, inside)
         if tag in _BLOCK:
             if not up.children or up.children[-1] != tag:
                 up.children.append(tag)
@@ -191,7 +212,8 @@ def parse(html: str | None) -> tuple[list[Block], list[tuple[int, int]]]:
             up.noise or noise,
             up.article or (tag == "article" and not noise),
             up.main or tag == "main",
-            up.prose or tag in _PROSE,
+            (up.prose or tag in _PROSE) and not suspect and not up.suspect,
+            suspect or up.suspect,
         )
         stack.append(node)
         if raw is not None:
@@ -236,11 +258,13 @@ def iter_tokens(html: str) -> Iterator[tuple[int, int, bool, str | None, str, st
 
 def main_text(blocks: list[Block], removed: frozenset[int] | set[int] = frozenset()) -> str:
     """The main text of a page: its blocks by \\n, without noise and the paths removed for its host."""
+    left = [b for b in blocks if b.path not in removed or (b.prose and (b.article or b.main))]
+    size = sum(len(b.text) for b in left)
     for within in ("article", "main"):
-        inside = [b for b in blocks if getattr(b, within)]
-        if inside:
-            return "\n".join(b.text for b in inside if b.prose or b.path not in removed)
-    return "\n".join(b.text for b in blocks if b.path not in removed)
+        inside = [b for b in left if getattr(b, within)]
+        if inside and sum(len(b.text) for b in inside) >= SHARE * size:
+            return "\n".join(b.text for b in inside)
+    return "\n".join(b.text for b in left)
 
 
 def host(url: Column) -> Column:
