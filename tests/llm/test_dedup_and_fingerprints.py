@@ -185,6 +185,53 @@ def test_edit_report_odd_rows(spark):
     assert fingerprints.edit_report(frame(spark, [(3, "ab")]).limit(0)).collect() == []
 
 
+def simhash128(text):
+    """Brute force, term by term; the hash function is Spark's, computed outside of it by the same library."""
+    t = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    if not w:
+        return 0
+    signed = lambda n: n - (1 << 64) if n >> 63 else n
+    hash_of = lambda x, seed: xxhash.xxh64_intdigest(x, seed % 2**64)
+    votes = [0] * 128
+    total = 0
+    for k in range(max(1, len(w) - 1)):
+        pair = w[k : k + 2]
+        h = 42
+        for x in pair:
+            h = hash_of(x.encode(), h)
+        g = hash_of(signed(h).to_bytes(8, "little", signed=True), 42)
+        weight = min(16, max(1, sum(map(len, pair)) - 4))
+        total += weight
+        for b in range(64):
+            votes[64 + b] += weight * (h >> b & 1)
+            votes[b] += weight * (g >> b & 1)
+    return sum(1 << b for b in range(128) if 2 * votes[b] > total)
+
+
+def test_fingerprint_bits_and_likeness_are_brute_force(spark):
+    import math
+
+    rows = [(i * 5, t) for i, t in enumerate(["One two, three", "", "é ê ë " * 40, "solo", LONG, "a b c d e f g", "A b C d e f h"])]
+    got = {r.doc_id: r for r in fingerprints.edit_report(frame(spark, rows)).collect()}
+    line = sorted(rows, reverse=True)
+    like = lambda a, b: max(0.0, math.cos(min(64, bin(a ^ b).count("1")) * math.pi / 128)) if bin(a ^ b).count("1") < 64 else 0.0
+    for k, (i, t) in enumerate(line):
+        nxt, half = line[(k + 1) % len(line)][1], len(t) // 2
+        own, edited = simhash128(t), simhash128(t[: len(t) - half] + nxt[:half])
+        assert (int(got[i].fingerprint, 16), int(got[i].edited_fingerprint, 16)) == (own, edited)
+        assert abs(got[i].near_edited - like(own, edited)) < 1e-9
+        assert abs(got[i].near_next - like(own, simhash128(nxt))) < 1e-9
+
+
+def test_query_counts_neighbours(spark, small):
+    got = fingerprints.query(spark, small).collect()
+    fps = {r.doc_id: int(r.fingerprint, 16) for r in got}
+    for r in got:
+        expected = sum(bin(fps[r.doc_id] ^ f).count("1") <= 3 for f in fps.values()) - 1 if r.doc_id % 20 == 0 else None
+        assert r.neighbours == expected
+
+
 def test_within_radius_is_brute_force(spark):
     import random
 

@@ -16,11 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trailmark.llm import votes
-from trailmark.llm.common import ascii_lower, table, words
+from trailmark.llm.common import ascii_lower, table, words, written
 
 #: Rows of a range of doc_id that one task puts in order; the number of ranges follows the table's size.
 RANGE_ROWS = 2_000
-#: At most so many ranges (their bounds are a literal of the plan); larger tables get longer ranges, sorted with spill.
+#: At most so many ranges, as their bounds are a literal of the plan: beyond 20 million documents the ranges get longer
+#: (10^10 documents: a million each) and are sorted with spill, with the same result.
 MAX_RANGES = 10_000
 _LEAST = -(1 << 63)
 
@@ -63,13 +64,9 @@ def likeness(bits: Column) -> Column:
     return F.when(bits >= 64, F.lit(0.0)).otherwise(F.cos(bits * F.lit(math.pi / 128)))
 
 
-def within_radius(queries: DataFrame, rows: DataFrame, radius: int = 3, blocks: int = 8) -> DataFrame:
-    """All (query_id, row_id, bits) with at most `radius` differing bits; a row does not find itself.
-
-    queries and rows: id, fp_a, fp_b. Equal fingerprints of `rows` are made one before the tables are joined and
-    spread out only for the result. Needs radius < blocks; each of the C(blocks, radius) tables agrees on
-    blocks - radius blocks, so a chance agreement costs 2^-(128 (blocks - radius) / blocks).
-    """
+def _near_pairs(queries: DataFrame, rows: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """(fp_a, fp_b, ra, rb, bits) of the different fingerprints of queries and of rows with at most `radius` differing
+    bits, by the permuted block tables."""
     if not 0 <= radius < blocks or 128 % blocks:
         raise ValueError("radius must be below blocks, and blocks divide 128")
     width = 128 // blocks
@@ -96,12 +93,33 @@ def within_radius(queries: DataFrame, rows: DataFrame, radius: int = 3, blocks:
     r = placed(rows.select("fp_a", "fp_b").distinct()).withColumnsRenamed({"fp_a": "ra", "fp_b": "rb"})
     bits = distance(("fp_a", "fp_b"), ("ra", "rb"))
     pairs = q.join(r, ["t", "ka", "kb"]).withColumn("bits", bits).where(F.col("bits") <= radius)
-    pairs = pairs.select("fp_a", "fp_b", "ra", "rb", "bits").distinct()
+    return pairs.select("fp_a", "fp_b", "ra", "rb", "bits").distinct()
+
+
+def within_radius(queries: DataFrame, rows: DataFrame, radius: int = 3, blocks: int = 8) -> DataFrame:
+    """All (query_id, row_id, bits) with at most `radius` differing bits; a row does not find itself.
+
+    queries and rows: id, fp_a, fp_b. Equal fingerprints of `rows` are made one before the tables are joined and
+    spread out only for the result. Needs radius < blocks; each of the C(blocks, radius) tables agrees on
+    blocks - radius blocks, so a chance agreement costs 2^-(128 (blocks - radius) / blocks). Rows without an id are
+    not found; empty tables give no rows.
+    """
+    pairs = _near_pairs(queries, rows, radius, blocks)
     named = queries.select(F.col("id").alias("query_id"), "fp_a", "fp_b").join(pairs, ["fp_a", "fp_b"])
     other = rows.select(F.col("id").alias("row_id"), F.col("fp_a").alias("ra"), F.col("fp_b").alias("rb"))
     return named.join(other, ["ra", "rb"]).where("query_id <> row_id").select("query_id", "row_id", "bits")
 
 
+def neighbour_counts(queries: DataFrame, rows: DataFrame, radius: int = 3, blocks: int = 4) -> DataFrame:
+    """(fp_a, fp_b, neighbours) for each different fingerprint of queries (fp_a, fp_b): how many rows (fp_a, fp_b) are
+    within `radius` bits of it, equal ones included. Rows with one fingerprint are counted first and never spread out,
+    so copies cost nothing; arguments as in `within_radius`. With four blocks there are four tables of 32 bits."""
+    counted = rows.groupBy("fp_a", "fp_b").agg(F.count(F.lit(1)).alias("n"))
+    pairs = _near_pairs(queries, counted, radius, blocks)
+    sizes = counted.withColumnsRenamed({"fp_a": "ra", "fp_b": "rb"})
+    return pairs.join(sizes, ["ra", "rb"]).groupBy("fp_a", "fp_b").agg(F.sum("n").alias("neighbours"))
+
+
 def _longs(values: list[int]) -> Column:
     """A literal array of longs."""
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
@@ -166,7 +184,7 @@ def in_order(docs: DataFrame) -> DataFrame:
 
 def edit_report(docs: DataFrame) -> DataFrame:
     """One row per row of docs: doc_id, n_chars, edited_sha256, fingerprint and edited_fingerprint (32 hex digits),
-    near_edited, near_next, next_id.
+    near_edited, near_next, next_id, fp_a and fp_b (the fingerprint as two longs).
 
     The edited text has the last floor(n_chars / 2) code points replaced by the first as many (or all) of the next
     document. A null text counts as empty; the empty text's fingerprint is zero. A single document is its own next
@@ -202,6 +220,8 @@ def edit_report(docs: DataFrame) -> DataFrame:
         likeness(distance(("fp_a", "fp_b"), ("fp_a1", "fp_b1"))).alias("near_edited"),
         likeness(distance(("fp_a", "fp_b"), ("fp_a2", "fp_b2"))).alias("near_next"),
         "next_id",
+        "fp_a",
+        "fp_b",
     )
 
 
@@ -210,4 +230,11 @@ ORACLE_SQL = None
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_report(table(spark, sf_dir, "documents"))
+    """The edit report; for documents whose id is divisible by 20, also how many others of all documents have a
+    fingerprint within three bits of theirs, found by the block tables (null for the rest)."""
+    rows = written(edit_report(table(spark, sf_dir, "documents")), "fingerprints")
+    asked = F.coalesce(F.col("doc_id") % 20 == 0, F.lit(False))
+    found = neighbour_counts(rows.where(asked), rows)
+    told = rows.where(asked).join(found, ["fp_a", "fp_b"]).withColumn("neighbours", F.col("neighbours") - 1)
+    rest = rows.where(~asked).withColumn("neighbours", F.lit(None).cast("bigint"))
+    return told.unionByName(rest).drop("fp_a", "fp_b")
