@@ -160,13 +160,3 @@ def test_toxicity_odd_rows(spark):
     assert not any(r.toxic for r in got)
     assert got[0].lang == "s"
     assert toxicity.score(odd(spark, ODD).limit(0), model).collect() == []
-
-
-def test_pipeline_stages(spark, small):
-    import corpus_pipeline
-
-    docs = spark.read.parquet(f"{small}/documents.parquet")
-    first = corpus_pipeline.STAGES[0][1](spark, docs, small)
-    assert first.columns == docs.columns
-    out = corpus_pipeline.run(spark, small).collect()
-    assert out and all(r.n_tokens == len(r.ids) for r in out)

@@ -130,7 +130,7 @@ def exact_dedup(docs: DataFrame, block: int = BLOCK, bits: int = 64) -> DataFram
 def keep_first(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """One row of docs for each different text, with docs' own columns: that with the smallest doc_id (null ids last).
     Of rows with that id and text, which may differ in other columns or in white space, the one with the least row key
-    stays, so a rerun keeps the same. Null and blank texts are equal; an empty table gives no rows."""
+    stays, so a rerun keeps the same. Null and empty texts are equal; an empty table gives no rows."""
     rows = docs.select("doc_id", row_key(docs).alias("tie"), normalised(F.col("text")).alias("norm"))
     stay = _judged(rows, block, 64).where("kept").select(F.col("tie").alias("__key"))
     # only rows repeated as a whole share a key

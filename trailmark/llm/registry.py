@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-import corpus_pipeline
+from trailmark.llm import stages
 
 MODULES = (
     "mixing",
@@ -25,7 +25,7 @@ def _modules():
 
 
 def queries():
-    return {m.QUERY: m.query for m in _modules()} | {"pipeline": corpus_pipeline.run}
+    return {m.QUERY: m.query for m in _modules()} | {"pipeline": stages.run}
 
 
 def oracle_sql():

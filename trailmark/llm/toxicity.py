@@ -166,6 +166,20 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
+def clean(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs that are not toxic, with docs' own columns, whatever their names."""
+    weights, theta, cut = model.weights.astype(np.float32), model.theta, CUT
+    place = [f.name.lower() for f in docs.schema.fields].index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready = Model(weights, theta)
+        for batch in batches:
+            found = (features(text.as_py()) for text in batch.column(place))
+            yield batch.filter(pa.array([not len(ids) or bool(ready.at_least(ids)[0] < cut) for ids in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def trained(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     return fit(*training_rows(docs, labels, "toxic", rows))
 
