@@ -1,61 +1,15 @@
-"""The corpus pipeline: toxic documents go, then exact and near copies; the rest is mixed by source and tokenised.
-
-Every stage takes (spark, docs, sf_dir) and works on all that the stage before it kept. `run` writes each stage's
-result to the shared folder and reads it again, as the stages are meant to be run.
-"""
+"""The corpus pipeline: STAGES in order, and `run`, which applies them to `documents`. The stages call the operators of
+trailmark.llm; see trailmark/llm/stages.py for what each keeps and how odd rows fare."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from trailmark.llm import byte_bpe, exact_dedup, jaccard_dedup, mixing, toxicity
-from trailmark.llm.common import table, written
-
-#: Some stages have no equal in SQL (the toxicity model, XXH64 fingerprints, BPE merges).
-ORACLE_SQL = None
-
-
-def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the severity model, fitted on the labelled documents, does not call toxic."""
-    model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("NOT toxic").select(*docs.columns)
-
-
-def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the smallest doc_id."""
-    return exact_dedup.keep_first(docs)
-
-
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies: five-word shingles, Jaccard similarity 0.8 or more."""
-    return jaccard_dedup.keep_one(docs)
-
-
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of sources to their target weights: a row for each time a document is taken."""
-    return mixing.mix(docs)
-
-
-def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids): the mix in byte-level BPE ids, for every row of it."""
-    tokens = byte_bpe.encode(docs, *byte_bpe.default_vocabulary())
-    return tokens.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
-
-
-STAGES = [
-    ("toxicity", drop_toxic),
-    ("exact dedup", drop_copies),
-    ("near-dedup", drop_near_copies),
-    ("mixing", mix_sources),
-    ("byte-level BPE", tokenise),
-]
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = written(docs, "stage-" + name.replace(" ", "-"))
-    return docs
+from trailmark.llm.stages import (  # noqa: F401
+    ORACLE_SQL,
+    STAGES,
+    drop_copies,
+    drop_near_copies,
+    drop_toxic,
+    mix_sources,
+    run,
+    tokenise,
+)
