@@ -127,6 +127,29 @@ def test_windows_agree_with_their_words():
     assert len(set(whole.tolist())) == 37
 
 
+def test_words_that_collide_in_one_hash_are_told_apart(monkeypatch):
+    """With the anchors' hash useless, all windows have one anchor and the other hash still tells them apart; long
+    words and a full table give the hashes that short words and an empty one give."""
+    words = [(f"w{k}" * (1 + 60 * (k % 2))).encode() for k in range(120)]
+    plain = substrings.windows(words)
+    monkeypatch.setattr(substrings, "_CACHE", 40)
+    fresh = substrings._Hashes()
+    monkeypatch.setattr(substrings, "_hashes", lambda: fresh)
+    assert all((a == b).all() for a, b in zip(substrings.windows(words), plain, strict=True))
+
+    class Blind(substrings._Hashes):
+        def of(self, words):
+            out = super().of(words)
+            out[:, 0] = 7
+            return out
+
+    monkeypatch.setattr(substrings, "_CACHE", 1000)
+    blind = Blind()
+    monkeypatch.setattr(substrings, "_hashes", lambda: blind)
+    anchor, whole = substrings.windows(words)
+    assert len(set(anchor.tolist())) == 1 and len(set(whole.tolist())) == 71
+
+
 def test_bpe_is_tiktoken():
     import public_tokenizers as P
     import tiktoken

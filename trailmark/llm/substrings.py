@@ -5,8 +5,9 @@ with equal words have equal anchors wherever they occur, and a document has abou
 holds (anchor, document) in immutable runs sorted by anchor. Each new batch of documents becomes a run and is
 merge-joined with the runs before it; anchors that turn up in a second document are passed on to verification, and
 when there are more than FAN runs they are compacted into one. Verification reads the texts of the documents with such
-anchors and compares the windows below them by a second fingerprint, of all WINDOW words: a window is repeated only if
-both 64-bit fingerprints agree. No window that starts in two documents can be missed, as both have its anchor.
+anchors and compares the windows below them by a second fingerprint, of all WINDOW words and by another hash of each: a
+window is repeated only if both 64-bit fingerprints agree, so words that collide in one hash do not fool both. No window
+that starts in two documents can be missed, as both have its anchor.
 
 Documents with the same words throughout are told apart by a 128-bit hash of the word sequence first; only the one
 with the smallest id goes into the index, the others are removed whole if they have a window at all. Windows below an
@@ -40,15 +41,31 @@ _BASE = 0x9E3779B97F4A7C15
 
 
 class _Hashes(dict):
-    """Word to 64-bit hash, emptied when full."""
+    """Word to its row in a table of two independent 64-bit hashes. Long words are kept by a digest, which no word can
+    be as it begins with a space."""
+
+    def __init__(self):
+        super().__init__()
+        self.table = np.zeros((_CACHE, 2), dtype=np.uint64)
 
     def __missing__(self, word: bytes) -> int:
-        found = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            if len(self) >= _CACHE:
+        digest = xxhash.xxh3_128_digest(word)
+        key = word if len(word) <= 64 else b" " + digest
+        row = self.get(key)
+        if row is None:
+            row = self[key] = len(self)
+            self.table[row] = np.frombuffer(digest, dtype=np.uint64)
+        return row
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """The hashes of words, a row each; emptied when what may be new does not fit."""
+        out = np.empty((len(words), 2), dtype=np.uint64)
+        for k in range(0, len(words), _CACHE // 4):
+            part = words[k : k + _CACHE // 4]
+            if len(self) + len(part) > _CACHE:
                 self.clear()
-            self[word] = found
-        return found
+            out[k : k + len(part)] = self.table[np.fromiter(map(self.__getitem__, part), dtype=np.int64, count=len(part))]
+        return out
 
 
 @functools.lru_cache(maxsize=1)
@@ -88,12 +105,13 @@ def _scrambled(h: np.ndarray) -> np.ndarray:
 
 
 def windows(words: list[bytes], window: int = WINDOW, half: int = HALF) -> tuple[np.ndarray, np.ndarray]:
-    """(anchor, fingerprint) of the window that starts at each word, both as signed 64-bit integers."""
+    """(anchor, fingerprint) of the window that starts at each word, both as signed 64-bit integers, from two hashes of
+    the words that have nothing in common."""
     if len(words) < window:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    values = np.fromiter(map(_hashes().__getitem__, words), dtype=np.uint64, count=len(words))
-    whole = _scrambled(_runs(values, window))
-    low, span = _scrambled(_runs(values, half)), 1
+    values = _hashes().of(words)
+    whole = _scrambled(_runs(values[:, 1].copy(), window))
+    low, span = _scrambled(_runs(values[:, 0].copy(), half)), 1
     inside = window - half + 1
     while span * 2 <= inside:
         low = np.minimum(low[:-span], low[span:])
