@@ -46,6 +46,18 @@ def test_key_bytes_and_store_keys(spark):
     assert row[1] == "1\x1fa"
 
 
+def test_java_hash_code(spark):
+    def java(text):
+        h = 0
+        units = text.encode("utf-16-be")
+        for k in range(0, len(units), 2):
+            h = (h * 31 + int.from_bytes(units[k : k + 2], "big")) % 2**32
+        return h - 2**32 if h >> 31 else h
+
+    for text in ("", "abc", "a much longer string than that", "é\n你", "😀", "x😀y𝄞z"):
+        assert one(spark, S.java_hash_code(F.lit(text)))[0] == java(text)
+
+
 def test_names_and_templates():
     assert S.fill("a {x} {y}", {"x": "1"}) == "a 1 {y}"
     assert files.topic("metrics", "view") == "metrics.view"

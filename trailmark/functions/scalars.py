@@ -32,13 +32,16 @@ def fill(template: str, values: dict[str, str]) -> str:
 
 
 def java_hash_code(c: Column) -> Column:
-    """The 32-bit polynomial hash (base 31) of a string's characters in the basic plane, as an INT."""
-    chars = F.filter(F.split(c, ""), lambda x: x != "")
-    wrapped = F.aggregate(
-        chars,
-        F.lit(0).cast("bigint"),
-        lambda acc, x: (acc * 31 + F.ascii(x)).bitwiseAND(F.lit(0xFFFFFFFF)),
-    )
+    """The 32-bit polynomial hash (base 31) of a string's UTF-16 units, as an INT; characters beyond the basic plane
+    are two of them."""
+
+    def add(acc: Column, x: Column) -> Column:
+        code = F.ascii(x)
+        high = F.lit(0xD800) + F.floor((code - 0x10000) / 0x400).cast("bigint")
+        low = F.lit(0xDC00) + (code - 0x10000) % 0x400
+        return F.when(code < 0x10000, acc * 31 + code).otherwise((acc * 31 + high) * 31 + low).bitwiseAND(F.lit(0xFFFFFFFF))
+
+    wrapped = F.aggregate(F.regexp_extract_all(c, F.lit("(?s)(.)"), 1), F.lit(0).cast("bigint"), add)
     return F.when(wrapped >= 1 << 31, wrapped - (1 << 32)).otherwise(wrapped).cast("int")
 
 

@@ -17,8 +17,12 @@ from trailmark.streaming import flows
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path in the folder all executors share, or in a local one where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="trailmark-")
+    """A new path in the folder all executors share; a local one only where none is set and the master is local."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="trailmark-")
     return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
@@ -54,17 +58,14 @@ def partition_overwrite(spark, sf_dir):
 
 @register(
     "snk3_daily_parquet",
-    "SELECT strftime(ts, '%Y-%m-%d') AS dt, CAST(sum(CASE WHEN event_type = 'view' AND event_id % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS view_count "
-    "FROM events WHERE event_type <> 'error' GROUP BY 1",
+    f"WITH {metrics._EVENTS_SQL} {metrics._DAILY_SQL}",
 )
 def daily_parquet(spark, sf_dir):
+    """All daily metrics, carts included, written by month (the orders span years of days) and read back whole."""
     path = scratch(spark, "daily")
-    imps = V.impressions(spark, sf_dir).withColumn("position", F.lit(0).cast("bigint"))
-    carts = V.cart_contents(spark, sf_dir).where("false")
-    rows = metrics.unified_events(V.views(spark, sf_dir), imps, imps, V.actions(spark, sf_dir), carts)
-    sinks.write_dated(metrics.daily(rows), path, hours=False)
-    got = spark.read.parquet(path)
-    return got.groupBy(F.col("dt").cast("string").alias("dt")).agg(F.sum("view_count").alias("view_count"))
+    rows = metrics.daily(metrics._unified(spark, sf_dir))
+    sinks.write_dated(rows.withColumnRenamed("dt", "day").withColumn("dt", F.substring("day", 1, 7)), path, hours=False)
+    return spark.read.parquet(path).drop("dt").withColumnRenamed("day", "dt").select(*rows.columns)
 
 
 def replay(df: DataFrame, build, tag: str, delay: str | None = "1 second") -> DataFrame:

@@ -16,7 +16,7 @@ from trailmark.operators import dedupe, hydrate, ingest
 from trailmark.plans import metrics
 from trailmark.plans.counting import AGENTS
 from trailmark.session import table
-from trailmark.sources import sinks
+from trailmark.sources import files, sinks
 
 
 def _record(kind: str, **values):
@@ -442,11 +442,28 @@ def raw_dated(spark, sf_dir):
     return rows.groupBy("dt", "hour").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("src8_generated_funnel")
-def funnel(spark, sf_dir):
-    from trailmark.sources.files import generated_funnel
+def _funnel_sql(requests: int) -> str:
+    """Every row of the funnel from its number, by the rule of the generator's options."""
+    o = files.FunnelOptions()
+    chance = lambda salt, percent: f"CAST('0x' || substr(md5('{salt}:' || id), 1, 6) AS BIGINT) % 100 < {percent}"
+    kinds = (
+        ("true", "insertion", 0, "''", "''"), ("imp", "impression", 100, "'m' || id", "''"), ("imp AND twice", "impression", 150, "'m' || id || 'b'", "''"),
+        ("imp AND nav", "navigate", 200, "shown", "'n' || id"), ("imp AND buy", "purchase", 300, "shown", "'p' || id"),
+    )
+    rows = " UNION ALL ".join(
+        f"SELECT platform_id, log_user_id, ms + {after} AS ms, '{kind}' AS kind, request_id, insertion_id, {imp} AS impression_id, {act} AS action_id, content_id FROM f WHERE {flag}"
+        for flag, kind, after, imp, act in kinds
+    )
+    return f"""WITH n AS (SELECT id, id // {o.insertions_per_request} AS r FROM range({requests * o.insertions_per_request}) t(id)), f AS (
+  SELECT CAST(1 AS BIGINT) AS platform_id, 'u' || (r % {o.users}) AS log_user_id, {o.start_ms} + r * 1000 + id % {o.insertions_per_request} AS ms, id,
+         'r' || r AS request_id, 'i' || id AS insertion_id, 'c' || (id % 50) AS content_id, {chance("impression", o.impressed)} AS imp,
+         {chance("navigate", o.navigated)} AS nav, {chance("purchase", o.purchased)} AS buy, {chance("redundant", o.redundant)} AS twice,
+         CASE WHEN {chance("missing", o.missing_impression_id)} THEN '' ELSE 'm' || id END AS shown FROM n) {rows}"""
 
-    return generated_funnel(spark, 2_000).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+@register("src8_generated_funnel", _funnel_sql(2_000))
+def funnel(spark, sf_dir):
+    return files.generated_funnel(spark, 2_000)
 
 
 @register("src9_content_dimension", "SELECT p_brand AS store, count(*) AS items, count(DISTINCT p_type) AS promotions FROM part GROUP BY 1")
