@@ -25,7 +25,7 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from trailmark.plans import counting, flows, ingestion, joining, metrics  # noqa: F401
+    from trailmark.plans import counting, flows, ingestion, joining, metrics, outputs  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -169,18 +169,20 @@ def dropped(right: DataFrame, joined: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def mismatches(joined: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
-    """Error rows (the id columns, field, lhs, rhs) where both sides of a merged field are set and differ."""
+    """Error rows (the id columns, field, lhs, rhs) where both sides of a merged field are set (not blank; numbers not 0)
+    and differ."""
+    text = lambda c: (F.col(c) if joined.schema[c].dataType.simpleString() == "string" else F.nullif(F.col(c), F.lit(0))).cast("string")
     each = F.explode(
         F.array(
             *[
-                F.struct(F.lit(name).alias("field"), F.col(a).cast("string").alias("lhs"), F.col(b).cast("string").alias("rhs"))
+                F.struct(F.lit(name).alias("field"), text(a).alias("lhs"), text(b).alias("rhs"))
                 for name, (a, b) in pairs.items()
             ]
         )
     )
     used = {c for pair in pairs.values() for c in pair}
     rows = joined.select(*[c for c in joined.columns if c not in used], each.alias("x")).select("*", "x.*").drop("x")
-    return rows.where(~S.blank(F.col("lhs")) & ~S.blank(F.col("rhs")) & (F.col("lhs") != "0") & (F.col("rhs") != "0") & (F.col("lhs") != F.col("rhs")))
+    return rows.where(~S.blank(F.col("lhs")) & ~S.blank(F.col("rhs")) & (F.col("lhs") != F.col("rhs")))
 
 
 def split_cart(actions: DataFrame, cart_types: tuple[int, ...] = (3, 8)) -> DataFrame:

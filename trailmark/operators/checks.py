@@ -31,6 +31,11 @@ def ignores_usage(*flags: Column) -> Column:
     return out
 
 
+def is_joined_impression(action: Column) -> Column:
+    """Whether a joined event is an impression, that is without an action."""
+    return action.isNull()
+
+
 def is_buyer(sparse_ids: Column, hashes: list[int]) -> Column:
     """Whether none of the given features is 1."""
     out = F.lit(True)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,3 +68,38 @@ def with_content(df: DataFrame, dimension: DataFrame, content: str, names: list[
     logged = F.coalesce("other_content_ids", none)
     kept = F.map_filter(F.coalesce("__found", none), lambda k, v: ~F.map_contains_key(logged, k) & ~S.blank(v))
     return df.join(side, content, "left").withColumn("other_content_ids", F.map_concat(kept, logged)).drop("__found")
+
+
+def looked_up(df: DataFrame, content: str, fetch, names: list[str], batch: int = 100, tries: int = 3, wait: float = 0.1) -> DataFrame:
+    """A dimension (content_id and the named other ids, for `with_content`) from a service instead of a table.
+
+    fetch(list of content ids) gives {content id: {name: other id}}. Each different content is asked for once, in lists
+    of at most `batch`; an error is tried again after `wait` seconds, then twice that, and so on. What can't be had
+    after so many tries has no other ids, as the logged ones stand without them.
+    """
+
+    def ask(ids: list[str]) -> dict:
+        for n in range(tries):
+            try:
+                return fetch(ids)
+            except Exception:  # noqa: BLE001
+                if n + 1 < tries:
+                    time.sleep(wait * 2**n)
+        return {}
+
+    def run(frames):
+        for frame in frames:
+            ids = frame["content_id"].tolist()
+            for k in range(0, len(ids), batch):
+                part = ids[k : k + batch]
+                got = ask(part)
+                yield pd.DataFrame({"content_id": part} | {n: [got.get(i, {}).get(n) for i in part] for n in names})
+
+    contents = df.select(F.col(content).alias("content_id")).where(~S.blank(F.col("content_id"))).distinct()
+    return contents.mapInPandas(run, "content_id string, " + ", ".join(f"`{n}` string" for n in names))
+
+
+def without_lookup(df: DataFrame) -> DataFrame:
+    """In place of a lookup where there is no service: other ids are those that were logged."""
+    none = F.create_map().cast("map<string,string>")
+    return df.withColumn("other_content_ids", F.coalesce("other_content_ids", none) if "other_content_ids" in df.columns else none)

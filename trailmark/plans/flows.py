@@ -98,13 +98,3 @@ def streamed_keep_first(spark, sf_dir):
     rows = _with_time(spark, sf_dir)
     path_rows = replay(rows, lambda s: keep_first_stream(s.select("log_user_id", "event_type", "ts"), ["log_user_id", "event_type"], "ts", "60 days"), "first", None)
     return path_rows.select("log_user_id", "event_type")
-
-
-@register(
-    "st5_late_rows",
-    "SELECT event_id, ts < TIMESTAMP '2024-01-10' AS late FROM events",
-)
-def late_rows(spark, sf_dir):
-    rows = _with_time(spark, sf_dir)
-    on_time, late = flows.split_late(rows, "ts", 1_704_844_800_000)
-    return on_time.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True))).select("event_id", "late")

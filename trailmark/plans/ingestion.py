@@ -136,7 +136,7 @@ def user_pairs(spark, sf_dir):
 
 @register(
     "p5_cleared_records",
-    """SELECT ['user', 'cohort_membership', 'view', 'auto_view', 'delivery_log', 'impression', 'action', 'diagnostics'][1 + event_id % 8] AS record,
+    """SELECT ['user', 'cohort_membership', 'view', 'auto_view', 'delivery_log', 'impression', 'action', 'diagnostics', 'session', 'session_profile'][1 + event_id % 10] AS record,
        'LU' || user_id AS batch_log_user_id, '' AS batch_user_id, CASE WHEN event_id % 3 <> 0 THEN 'own' || user_id ELSE '' END AS log_user_id, '' AS user_id FROM events""",
 )
 def cleared_records(spark, sf_dir):

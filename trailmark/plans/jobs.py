@@ -22,6 +22,7 @@ from trailmark.sources import files, sinks
 RAW_KEYS = {
     "user": ["log_user_id"], "cohort_membership": ["membership_id"], "view": ["view_id"], "auto_view": ["auto_view_id"],
     "impression": ["impression_id"], "action": ["action_id"], "delivery_log": ["request_id"], "diagnostics": None,
+    "session": ["session_id"], "session_profile": ["session_id"],
 }
 
 
@@ -74,29 +75,51 @@ class FlatOptions:
     latest_most: int = 25
 
 
+def _with_left(joined: DataFrame, left: DataFrame, key: str, ids: list[str]) -> DataFrame:
+    """Attributed rows with the left event's ids beside their own, under __<id>."""
+    side = left.select(*A.USER, F.col(key).alias("left_key"), *[F.col(c).alias(f"__{c}") for c in ids]).dropDuplicates([*A.USER, "left_key"])
+    return joined.join(side, [*A.USER, "left_key"], "left")
+
+
 def with_left_ids(joined: DataFrame, left: DataFrame, key: str, ids: list[str]) -> DataFrame:
     """Attributed rows with the left event's ids where it has them (left wins), its key included."""
-    side = left.select(*A.USER, F.col(key).alias("left_key"), *[F.col(c).alias(f"__{c}") for c in ids]).dropDuplicates([*A.USER, "left_key"])
-    rows = joined.join(side, [*A.USER, "left_key"], "left")
+    rows = _with_left(joined, left, key, ids)
     rows = rows.withColumns({c: S.merged(F.col(f"__{c}"), F.col(c), "") for c in ids} | {key: S.merged(F.col("left_key"), F.col(key), "")})
     return rows.drop("left_key", "left_ms", "kind", *[f"__{c}" for c in ids])
 
 
-def flat_output(views: DataFrame, insertions: DataFrame, impressions: DataFrame, actions: DataFrame, o: FlatOptions | None = None) -> dict[str, DataFrame]:
+def _mismatched(joined: DataFrame, left: DataFrame, key: str, ids: list[str], record: str, own: str) -> DataFrame:
+    """(record_type, user key, ms, id, field, lhs, rhs) of ids that both sides have and that differ."""
+    both = _with_left(joined, left, key, ids).select(F.lit(record).alias("record_type"), *A.USER, "ms", F.col(own).alias("id"), *ids, *[f"__{c}" for c in ids])
+    return A.mismatches(both, {c: (f"__{c}", c) for c in ids})
+
+
+def flat_output(views: DataFrame, insertions: DataFrame, impressions: DataFrame, actions: DataFrame, o: FlatOptions | None = None, cut=None) -> dict[str, DataFrame]:
     """The join job on narrow events: chained attribution, redundancy reduction, sessions and latest impressions.
 
     All inputs have the user key, ms, content_id and their ids ('' where absent); the key of every step is the user,
-    so the chain stays partitioned by it. Results: insertion, impression, action, redundant_impression, dropped
-    impressions and actions, flat sessions and latest impressions per action.
+    so the chain stays partitioned by it. Records that break a rule of theirs are not joined. Results: insertion,
+    impression, action, redundant_impression, flat_session, latest_impressions, and the side tables: dropped impressions
+    and actions, validation_error, mismatch_error, and debug_partial_response_insertion (insertions without a view).
+    cut(df, name) may write a step and give back what it reads, so that steps used by several results run once.
     """
     o = o or FlatOptions()
-    delivered = with_left_ids(A.attribute(views, insertions, o.view_insertion), views, "view_id", [])
-    shown = A.attribute(delivered, impressions, o.insertion_impression)
-    joined = with_left_ids(shown, delivered, "insertion_id", ["request_id", "view_id", "content_id"])
-    acted = A.attribute(joined, actions, o.impression_action)
-    found = with_left_ids(acted, joined, "impression_id", ["insertion_id", "request_id", "view_id"])
+    cut = cut or (lambda df, _: df)
+    impressions, bad_impressions = K.validated(impressions, K.impression_errors(), "IMPRESSION", [*A.USER, "ms", "impression_id"])
+    cart = "cart" in actions.columns
+    carted = actions if cart else actions.withColumn("cart", F.lit(None).cast("array<struct<content_id:string,quantity:bigint>>"))
+    actions, bad_actions = K.validated(carted, K.action_errors(), "ACTION", [*A.USER, "ms", "action_id"])
+    actions = actions if cart else actions.drop("cart")
+    delivered = cut(with_left_ids(A.attribute(views, insertions, o.view_insertion), views, "view_id", []), "delivered")
+    shown = cut(A.attribute(delivered, impressions, o.insertion_impression), "shown")
+    above = ["request_id", "view_id", "content_id"]
+    joined = cut(with_left_ids(shown, delivered, "insertion_id", above), "joined")
+    acted = cut(A.attribute(joined, actions, o.impression_action), "acted")
+    found = cut(with_left_ids(acted, joined, "impression_id", ["insertion_id", "request_id", "view_id"]), "found")
     roots, redundant, pointed = A.reduce_redundant(joined, found, o.redundancy_ms)
+    roots, pointed = cut(roots, "roots"), cut(pointed, "pointed")
     timed = lambda df: df.withColumn("ts", F.timestamp_millis("ms"))
+    ident = lambda df, c: df.withColumnRenamed(c, "id")
     return {
         "insertion": delivered,
         "impression": roots,
@@ -106,9 +129,54 @@ def flat_output(views: DataFrame, insertions: DataFrame, impressions: DataFrame,
         "dropped_action": A.dropped(actions, acted, [*A.USER, "action_id", "content_id"]),
         "flat_session": T.sessions(timed(roots), timed(pointed), o.session_gap),
         "latest_impressions": T.latest_impressions(pointed, roots, o.latest_window_ms, o.latest_most),
+        "validation_error": ident(bad_impressions, "impression_id").unionByName(ident(bad_actions, "action_id")),
+        "mismatch_error": _mismatched(shown, delivered, "insertion_id", above, "IMPRESSION", "impression_id").unionByName(
+            _mismatched(acted, joined, "impression_id", ["insertion_id", "request_id", "view_id"], "ACTION", "action_id")
+        ),
+        "debug_partial_response_insertion": delivered.where(S.blank(F.col("view_id"))),
     }
 
 
+#: The joined tables by the result they are made of, with their keys.
+FLAT_KEYS = {
+    "joined_impression": ("impression", ("platform_id", "insertion_id")),
+    "joined_action": ("action", ("platform_id", "action_id", "content_id")),
+    "flat_response_insertion": ("flat_session", ("platform_id", "insertion_id")),
+}
+FLAT_SIDES = ("dropped_impression", "dropped_action", "redundant_impression", "validation_error", "mismatch_error", "debug_partial_response_insertion")
+
+
+def flat_tables(out: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The joined tables, user ids cleared, with their time as ms."""
+    tables = {}
+    for name, (result, _) in FLAT_KEYS.items():
+        df = out[result]
+        if "ms" not in df.columns:
+            df = df.withColumn("ms", F.unix_millis("session_start"))
+        tables[name] = ingest.clear_user_id(df)
+    return tables
+
+
+def write_flat(out: dict[str, DataFrame], root: str, label: str = "", fmt: str = "parquet", codec: str = "snappy", late: dict[str, DataFrame] | None = None) -> dict[str, str]:
+    """Writes the joined tables, the side tables and the late rows by kind (late_<kind>) under date and hour; gives the
+    path of each by name. Side tables lie in etl_side."""
+    paths = {}
+    sides = {name: ingest.clear_user_id(out[name]) for name in FLAT_SIDES}
+    sides |= {f"late_{kind}": ingest.clear_user_id(df) for kind, df in (late or {}).items()}
+    for folder, tables in (("joined", flat_tables(out)), ("etl_side", sides)):
+        for name, df in tables.items():
+            paths[name] = sinks.table_path(root, folder, name, label=label)
+            sinks.write_dated(sinks.with_date_hour(df, F.col("ms")), paths[name], fmt, codec)
+    return paths
+
+
+def upsert_flat(out: dict[str, DataFrame], old: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The joined tables as lake tables: new rows over old ones by the table's key, the later one wins."""
+    old = old or {}
+    order = lambda df: [c for c in ("ms", "impression_id", "request_id", "log_user_id") if c in df.columns]
+    return {name: sinks.upsert(df, old.get(name), list(FLAT_KEYS[name][1]), order(df)) for name, df in flat_tables(out).items()}
+
+
 @dataclass(frozen=True)
 class CounterOptions:
     as_of_ms: int

@@ -34,6 +34,8 @@ ACTION = (
     f" cart: ARRAY<{CART_ITEM}>, properties: STRING>"
 )
 DIAGNOSTICS = f"STRUCT<{COMMON}, payload: STRING>"
+SESSION = f"STRUCT<{COMMON}, session_id: STRING, start_ms: BIGINT>"
+SESSION_PROFILE = f"STRUCT<{COMMON}, session_id: STRING, properties: STRING>"
 
 #: Record types of a log batch, by the name of the array that holds them.
 RECORDS = {
@@ -45,6 +47,8 @@ RECORDS = {
     "impression": IMPRESSION,
     "action": ACTION,
     "diagnostics": DIAGNOSTICS,
+    "session": SESSION,
+    "session_profile": SESSION_PROFILE,
 }
 LOG_REQUEST = ", ".join(
     [f"platform_id BIGINT, user_info {USER_INFO}, timing {TIMING}, client_info {CLIENT}"]

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import struct
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -44,6 +48,88 @@ def messages(spark: SparkSession, servers: str, name: str, start: str = "earlies
     )
 
 
+def event_stream(df: DataFrame, schema: StructType | str, ms: Column, delay: str = "1 second") -> DataFrame:
+    """Records from a topic's JSON values, with their event time as ts and a watermark; a value that can't be read fails
+    the query with the value (in base64) in its message."""
+    x = F.from_json(F.col("value").cast("string"), schema, {"mode": "PERMISSIVE"})
+    failed = F.raise_error(F.concat(F.lit("unreadable message: "), F.base64(F.col("value").cast("binary"))))
+    broken = F.col("value").isNotNull() & F.coalesce(F.try_parse_json(F.col("value").cast("string")).isNull(), F.lit(True))
+    rows = df.select(F.when(broken, failed.cast(x_type(schema))).otherwise(x).alias("x")).select("x.*")
+    return rows.withColumn("ts", F.timestamp_millis(ms)).withWatermark("ts", delay)
+
+
+def x_type(schema: StructType | str) -> StructType:
+    return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+
+
+#: Spark types of Avro's.
+AVRO_TYPES = {"string": "string", "bytes": "binary", "int": "int", "long": "bigint", "boolean": "boolean", "float": "float", "double": "double"}
+
+
+def _avro_reader(fields: list) -> Callable[[bytes], dict]:
+    """A reader of a record's binary form; fields are of AVRO_TYPES, or unions of one of them with null."""
+
+    def number(b: bytes, at: int) -> tuple[int, int]:
+        n = shift = 0
+        while True:
+            n |= (b[at] & 127) << shift
+            shift, at = shift + 7, at + 1
+            if b[at - 1] < 128:
+                return (n >> 1) ^ -(n & 1), at
+
+    def value(kind, b: bytes, at: int):
+        if isinstance(kind, list):
+            n, at = number(b, at)
+            return value(kind[n], b, at)
+        if kind == "null":
+            return None, at
+        if kind in ("int", "long"):
+            return number(b, at)
+        if kind == "boolean":
+            return b[at] == 1, at + 1
+        if kind in ("float", "double"):
+            code, size = ("<f", 4) if kind == "float" else ("<d", 8)
+            return struct.unpack_from(code, b, at)[0], at + size
+        n, at = number(b, at)
+        raw = bytes(b[at : at + n])
+        if n < 0 or len(raw) < n:
+            raise ValueError("message ends within a value")
+        return (raw.decode() if kind == "string" else raw), at + n
+
+    def read(b: bytes) -> dict:
+        out, at = {}, 0
+        for name, kind in fields:
+            out[name], at = value(kind, b, at)
+        if at != len(b):
+            raise ValueError("message goes on after its record")
+        return out
+
+    return read
+
+
+def avro_records(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
+    """df with the fields of an Avro record (its schema as JSON; flat) in place of its binary column, also on a stream.
+    A null value gives nulls; one that can't be read fails the query with the value (in base64)."""
+    fields = [(f["name"], f["type"]) for f in json.loads(schema)["fields"]]
+    plain = lambda kind: next(k for k in kind if k != "null") if isinstance(kind, list) else kind
+    ddl = ", ".join(f"`{name}` {AVRO_TYPES[plain(kind)]}" for name, kind in fields)
+
+    @F.pandas_udf(ddl)
+    def records(values: pd.Series) -> pd.DataFrame:
+        import base64
+
+        read = _avro_reader(fields)
+        rows = []
+        for v in values:
+            try:
+                rows.append({} if v is None else read(v))
+            except (IndexError, ValueError, struct.error) as bad:
+                raise ValueError("unreadable message: " + base64.b64encode(v).decode()) from bad
+        return pd.DataFrame(rows, columns=[n for n, _ in fields], dtype=object)
+
+    return df.withColumn("__x", records(F.col(value))).select(*[c for c in df.columns if c != value], "__x.*")
+
+
 @dataclass(frozen=True)
 class FunnelOptions:
     """Rates of the generated funnel, in percent of the step before, and ids left out, in percent."""

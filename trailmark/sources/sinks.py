@@ -87,10 +87,22 @@ def apply_commands(commands: DataFrame, store: DataFrame | None = None) -> DataF
     return grouped.where("last <> 'HDEL'").drop("last")
 
 
-def store_metadata(spark: SparkSession, families: dict[str, list[int]]) -> DataFrame:
-    """Rows that describe each key family before a run: its name and feature ids."""
-    rows = [("HSET", "metadata", f"{name}.feature_ids", ",".join(map(str, sorted(ids)))) for name, ids in families.items()]
-    return spark.createDataFrame(rows, "op string, key string, field string, value string")
+def store_metadata(spark: SparkSession, families: dict[str, tuple[list[str], list[int]]]) -> DataFrame:
+    """Commands sent before a run: for each key family the names of its key's parts and its feature ids, for ever."""
+    rows = []
+    for name, (parts, ids) in families.items():
+        rows.append(("HSET", "row_format", name, ",".join(parts), -1))
+        rows.append(("HSET", "feature_ids", name, ",".join(map(str, sorted(ids))), -1))
+    return spark.createDataFrame(rows, "op string, key string, field string, value string, ttl bigint")
+
+
+def prepare_store(send, metadata: DataFrame, wipe: bool = False) -> None:
+    """Before a run: PING, FLUSHDB where the store is to be wiped, then the metadata (a row or two for each family).
+    send takes an iterator of rows, as in `command_writer`."""
+    spark = metadata.sparkSession
+    first = [("PING",), ("FLUSHDB",)] if wipe else [("PING",)]
+    send(iter(spark.createDataFrame(first, "op string").collect()))
+    send(iter(metadata.collect()))
 
 
 def command_writer(send):
@@ -111,3 +123,49 @@ def upsert(new: DataFrame, old: DataFrame | None, keys: list[str], order: list[s
 def between(df: DataFrame, ms: str, start: int, stop: int) -> DataFrame:
     """The output time gate, both ends inclusive."""
     return df.where(F.col(ms).between(start, stop))
+
+
+def record_writer(put, key: str = "key", value: str = "value", most: int = 500):
+    """For writeStream.foreachBatch: put([(key, value), …]) gets each partition's records in lists of at most `most`, as
+    shard services take them; a row's key says which shard."""
+
+    def partition(rows) -> None:
+        held = []
+        for row in rows:
+            held.append((row[key], row[value]))
+            if len(held) == most:
+                put(held)
+                held = []
+        if held:
+            put(held)
+
+    def each(batch: DataFrame, _: int) -> None:
+        batch.select(key, value).foreachPartition(partition)
+
+    return each
+
+
+def compact(spark: SparkSession, source: str, target: str, parts: dict[str, str], schema=None, fmt: str = "parquet") -> None:
+    """Writes the partitions of a dated table that match `parts` (static values, such as a day) to another place in few
+    large files; what lies there of other partitions stays."""
+    reader = spark.read.format(fmt)
+    df = (reader.schema(schema) if schema else reader).load(source)
+    for name, value in parts.items():
+        df = df.where(F.col(name) == value)
+    by = [c for c in ("dt", "hour") if c in df.columns]
+    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).format(fmt).save(target)
+
+
+def counter_debug(df: DataFrame, keys: list[str], ms: str, count: str, as_of_ms: int, width_ms: int) -> DataFrame:
+    """Rows of a sliding counter's state, for looking at: per key the time of its last event, its counts by bucket, their
+    sum, and the buckets that have left the window of width_ms by then. One row a key and bucket is added up first; a
+    key's row holds as many buckets as the window and the data before it have."""
+    hour = 3_600_000
+    bucket = (F.floor(F.col(ms) / hour) * hour).cast("bigint")
+    sums = df.where(F.col(ms) <= as_of_ms).groupBy(*keys, bucket.alias("b")).agg(F.sum(count).alias("n"), F.max(ms).alias("last"))
+    inside = F.col("b") > as_of_ms - width_ms
+    entries = F.sort_array(F.collect_list(F.when(inside, F.struct(F.col("b").cast("string").alias("key"), F.col("n").alias("value")))))
+    return sums.groupBy(*keys).agg(
+        F.lit(as_of_ms).cast("bigint").alias("watermark"), F.max("last").alias("event_api_timestamp"), F.map_from_entries(entries).alias("window_counts"),
+        F.coalesce(F.sum(F.when(inside, F.col("n"))), F.lit(0)).alias("bucket_sum"), F.sort_array(F.collect_list(F.when(~inside, F.col("b")))).alias("removed"),
+    )
