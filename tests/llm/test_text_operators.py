@@ -262,3 +262,34 @@ def test_site_style_tree_removes_what_a_host_repeats(spark):
     assert by_id[103] == "Welcome to us"
     assert by_id[200] == ""
     assert html_extract.extract(pages.limit(0)).collect() == []
+
+
+def test_index_is_reopened_with_its_runs(spark):
+    """Batches added in two sessions give the anchors that one index gives; runs outside of the manifest are ignored,
+    and a batch meets the runs without a shuffle of them."""
+    schema = "anchor bigint, place bigint, row_key bigint"
+    batches = [[(k, k * 10 + b, 0) for k in range(b, 40, b + 2)] + [(100 + b, 7 + b, 0), (100 + b, 8 + b, 0)] for b in range(5)]
+    frames = [spark.createDataFrame(rows, schema) for rows in batches]
+    one = substrings.Index(spark, buckets=3)
+    want = [sorted(r.anchor for r in one.add(f).collect()) for f in frames]
+    path = one.path + "-again"
+    got = []
+    for f in frames:
+        index = substrings.Index(spark, path, buckets=3 if not got else 9)
+        got.append(sorted(r.anchor for r in index.add(f).collect()))
+        index._write(f.groupBy("anchor").count().withColumnRenamed("count", "n"))
+        index.close()
+    assert got == want
+    last = substrings.Index(spark, path)
+    assert last.buckets == 3 and last.version == 5 and len(last.runs) <= substrings.FAN
+    seen, expected = set(), []
+    for rows in batches:
+        anchors = [a for a, _, _ in rows]
+        expected.append(sorted({a for a in anchors if a in seen or anchors.count(a) > 1}))
+        seen |= set(anchors)
+    assert want == expected
+    wanted = spark.createDataFrame([(a,) for a in (0, 2, 101)], "anchor bigint")
+    assert last.entries(wanted).count() == sum(a in (0, 2, 101) for rows in batches for a, _, _ in rows)
+    joined = last.run(last.runs[0]).select("anchor").hint("merge").join(one.run(one.runs[0]).select("anchor"), "anchor", "left_semi")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan

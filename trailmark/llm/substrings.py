@@ -2,14 +2,14 @@
 
 A window is WINDOW consecutive words. Its anchor is the least hash among the runs of HALF words inside it, so windows
 with equal words have equal anchors wherever they occur, and a document has about one anchor for 13 windows. The index
-holds (anchor, document) in immutable runs sorted by anchor. Each new batch of documents becomes a run and is
-merge-joined with the runs before it; anchors that turn up in a second document are passed on to verification, and
+holds the anchors in immutable runs, sorted in buckets, and beside them which documents have them. Each new batch of
+documents becomes a run and is merge-joined, bucket by bucket, with the runs before it; anchors that turn up in a second document are passed on to verification, and
 when there are more than FAN runs they are compacted into one. Verification reads the texts of the documents with such
 anchors and compares the windows below them by a second fingerprint, of all WINDOW words and by another hash of each: a
 window is repeated only if both 64-bit fingerprints agree, so words that collide in one hash do not fool both. No window
 that starts in two documents can be missed, as both have its anchor.
 
-Documents with the same words throughout are told apart by a 128-bit hash of the word sequence first; only the one
+Documents with the same words throughout are put together by the SHA-256 of the word sequence first; only the one
 with the smallest id goes into the index, the others are removed whole if they have a window at all. Windows below an
 anchor that more than HOT places have are handled by minima that are combined before the shuffle; the others meet
 sorted by (anchor, document), a batch at a time.
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -129,15 +130,12 @@ def _lists(parts: list[np.ndarray], kind=np.int64) -> pa.Array:
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts, first, second, digests, anchors = [], [], [], [], []
+        counts, digests, anchors = [], [], []
         texts = batch.column(2)
         for k in range(len(texts)):
             words = split(texts[k].as_py())
             joined = b" ".join(words)
-            h = xxhash.xxh3_128_intdigest(joined)
             counts.append(len(words))
-            first.append((h >> 64) - (1 << 63))
-            second.append((h & ((1 << 64) - 1)) - (1 << 63))
             digests.append(hashlib.sha256(joined).hexdigest())
             anchors.append(np.unique(windows(words)[0]))
         yield pa.RecordBatch.from_arrays(
@@ -145,12 +143,10 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column(0),
                 batch.column(1),
                 pa.array(counts, pa.int64()),
-                pa.array(first, pa.int64()),
-                pa.array(second, pa.int64()),
                 pa.array(digests, pa.string()),
                 _lists(anchors),
             ],
-            names=["place", "row_key", "n_words", "w1", "w2", "sha256", "anchors"],
+            names=["place", "row_key", "n_words", "sha256", "anchors"],
         )
 
 
@@ -183,36 +179,96 @@ def _unpack(value: pa.Scalar) -> list[bytes]:
 
 
 class Index:
-    """Immutable runs of (anchor, place, row_key), sorted by anchor, in the shared folder."""
-
-    def __init__(self, spark: SparkSession, fan: int = FAN):
-        self.spark, self.fan, self.runs = spark, fan, []
+    """Immutable runs of (anchor, n), each anchor once with the number of its rows, sorted by anchor within buckets by
+    anchor, so that a run and a new batch are merge-joined bucket by bucket, without a shuffle of the run. Numbers are
+    added up before the shuffle that makes a run, so a very common anchor is one small row. The rows themselves
+    (anchor, place, row_key) lie beside the runs as they came, unshuffled, for the anchors that are asked for.
+
+    path names the index; it has a manifest, of which each state is a row, the last one counts. One that exists is
+    opened with its runs and buckets, so batches can be added in other sessions. A run that was written but is not in
+    the manifest, as its job died, is ignored. One writer at a time.
+    """
 
-    def _write(self, rows: DataFrame) -> str:
-        path = new_path(self.spark, "index-run")
-        rows.repartition("anchor").sortWithinPartitions("anchor", "place").write.parquet(path)
+    _RUN, _ROW = "anchor bigint, n bigint", "anchor bigint, place bigint, row_key bigint"
+    _MANIFEST = "version int, buckets int, window int, half int, runs array<string>, rows array<string>"
+
+    def __init__(self, spark: SparkSession, path: str | None = None, fan: int = FAN, buckets: int | None = None):
+        self.spark, self.fan, self.path = spark, fan, path or new_path(spark, "index")
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.version, self.runs, self.rows, self._tables = 0, [], [], {}
+        states = self._states() if path else []
+        if states:
+            last = max(states, key=lambda r: r.version)
+            if (last.window, last.half) != (WINDOW, HALF):
+                raise ValueError(f"the index is of {last.window} words with runs of {last.half}")
+            self.version, self.buckets, self.runs, self.rows = last.version, last.buckets, list(last.runs), list(last.rows)
+
+    def _states(self) -> list:
+        jvm = self.spark._jvm
+        where = jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest")
+        there = where.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
+        return self.spark.read.schema(self._MANIFEST).parquet(f"{self.path}/manifest").collect() if there else []
+
+    def _commit(self) -> None:
+        self.version += 1
+        row = [(self.version, self.buckets, WINDOW, HALF, self.runs, self.rows)]
+        self.spark.createDataFrame(row, self._MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
+
+    def _new_path(self, tag: str) -> str:
+        return f"{self.path}/{tag}-{uuid.uuid4().hex}"
+
+    def _write(self, counted: DataFrame) -> str:
+        path = self._new_path("run")
+        name = "trailmark_" + path.rsplit("-", 1)[1]
+        if self.buckets != int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+            counted = counted.repartition(self.buckets, "anchor")
+        ordered = counted.write.bucketBy(self.buckets, "anchor").sortBy("anchor")
+        ordered.option("path", path).format("parquet").saveAsTable(name)
+        self._tables[path] = name
         return path
 
-    def history(self) -> DataFrame:
-        return self.spark.read.schema("anchor bigint, place bigint, row_key bigint").parquet(*self.runs)
+    def run(self, path: str) -> DataFrame:
+        """A run as a bucketed table, known to the session's catalogue from its first use on."""
+        if path not in self._tables:
+            name = "trailmark_" + path.rsplit("-", 1)[1]
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({self._RUN}) USING parquet CLUSTERED BY (anchor) SORTED BY (anchor)"
+                f" INTO {self.buckets} BUCKETS LOCATION '{path}'"
+            )
+            self._tables[path] = name
+        return self.spark.table(self._tables[path])
+
+    def entries(self, anchors: DataFrame) -> DataFrame:
+        """The rows of some anchors (column anchor, each once)."""
+        return self.spark.read.schema(self._ROW).parquet(*self.rows).join(anchors, "anchor")
 
     def add(self, rows: DataFrame) -> DataFrame:
-        """Adds a batch as a run; returns its anchors that now are in two documents or more (column anchor)."""
-        path = self._write(rows)
-        new = self.spark.read.schema("anchor bigint, place bigint, row_key bigint").parquet(path)
-        counted = new.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-        if self.runs:
-            seen = self.history().select(F.col("anchor").alias("seen")).distinct()
-            merged = counted.join(seen, F.col("anchor") == F.col("seen"), "left")
-            found = merged.where("n > 1 OR seen IS NOT NULL")
-        else:
-            found = counted.where("n > 1")
-        found = written(found.select("anchor"), "repeated-anchors")
+        """Adds a batch, (anchor, place, row_key) without repeats; returns its anchors that now are in two documents or
+        more (column anchor, each once)."""
+        kept = self._new_path("rows")
+        rows.write.parquet(kept)
+        path = self._write(self.spark.read.schema(self._ROW).parquet(kept).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")))
+        new = self.run(path)
+        known = new.withColumn("seen", F.col("n") > 1)
+        for k, old in enumerate(self.runs):
+            side = self.run(old).select("anchor", F.lit(True).alias(f"in_{k}"))
+            known = known.join(side.hint("merge"), "anchor", "left").withColumn("seen", F.col("seen") | F.coalesce(f"in_{k}", F.lit(False)))
+        found = written(known.where("seen").select("anchor"), "repeated-anchors")
         self.runs.append(path)
+        self.rows.append(kept)
         if len(self.runs) > self.fan:
-            self.runs = [self._write(self.history())]
+            # read as plain files: a group over a union of bucketed scans may find an anchor in two partitions
+            every = self.spark.read.schema(self._RUN).parquet(*self.runs)
+            self.runs = [self._write(every.groupBy("anchor").agg(F.sum("n").alias("n")))]
+        self._commit()
         return found
 
+    def close(self) -> None:
+        """Takes the runs out of the session's catalogue; their files stay."""
+        for name in self._tables.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._tables = {}
+
 
 def _below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (place, row_key, packed, hits): the windows below the anchors in hits, a row for each stretch of them."""
@@ -337,8 +393,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """A row for each row of docs: its words' number, hash and SHA-256, and its anchors; written once."""
-    schema = "place bigint, row_key bigint, n_words bigint, w1 bigint, w2 bigint, sha256 string, anchors array<bigint>"
+    """A row for each row of docs: its words' number and SHA-256, and its anchors; written once."""
+    schema = "place bigint, row_key bigint, n_words bigint, sha256 string, anchors array<bigint>"
     return written(_rows(docs).mapInArrow(_sketch, schema), "sketches")
 
 
@@ -347,10 +403,8 @@ def repeated_spans(docs: DataFrame, rows: DataFrame, batches: int = BATCHES, hot
     row_key, spans), of documents that are in the index; copies the (place, row_key) of documents whose words are
     those of a document with a smaller id."""
     spark = docs.sparkSession
-    heads = rows.where(f"n_words >= {WINDOW}").groupBy("w1", "w2", "n_words").agg(F.min("place").alias("head"))
-    told = rows.where(f"n_words >= {WINDOW}").select("place", "row_key", "w1", "w2", "n_words").join(
-        heads, ["w1", "w2", "n_words"]
-    )
+    heads = rows.where(f"n_words >= {WINDOW}").groupBy("sha256").agg(F.min("place").alias("head"))
+    told = rows.where(f"n_words >= {WINDOW}").select("place", "row_key", "sha256").join(heads, "sha256")
     told = written(told.select("place", "row_key", "head").distinct(), "heads")
     copies = told.where("place > head").select("place", "row_key")
     heads_only = told.where("place = head").select("place", "row_key")
@@ -368,7 +422,7 @@ def repeated_spans(docs: DataFrame, rows: DataFrame, batches: int = BATCHES, hot
             part = part.where(F.col("place") <= high)
         new = index.add(part.distinct())
         found = new if found is None else found.unionByName(new)
-    hits = index.history().join(found.distinct(), "anchor")
+    hits = index.entries(found.distinct())
     counts = hits.groupBy("anchor").agg((F.count(F.lit(1)) > hot).alias("hot"))
     by_doc = written(
         hits.join(counts, "anchor")
@@ -379,6 +433,7 @@ def repeated_spans(docs: DataFrame, rows: DataFrame, batches: int = BATCHES, hot
         ),
         "hits",
     )
+    index.close()
     texts = packed(docs)
     both = texts.join(by_doc, ["place", "row_key"]).select("place", "row_key", "packed", "cold", "hot")
     cold = both.where("size(cold) > 0").select("place", "row_key", "packed", "cold").mapInArrow(_below, _BELOW)
