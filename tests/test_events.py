@@ -1,6 +1,7 @@
 """Small cases with known answers for joins along time, counters, reduction and metrics."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -185,3 +186,36 @@ def test_store_commands(spark):
     rows = [("HSET", "k", "f", 5, 10, 1), ("HINCRBY", "k", "f", 2, 0, 2), ("HSET", "k", "g", 1, -1, 3), ("HDEL", "k", "g", 0, 0, 4)]
     got = sinks.apply_commands(spark.createDataFrame(rows, "op string, key string, field string, value bigint, ttl int, seq bigint")).collect()
     assert [(r.key, r.field, r.value, r.ttl) for r in got] == [("k", "f", 7, 10)]
+
+
+def test_attribution_shuffles_both_sides_once(spark):
+    left = spark.createDataFrame([(1, "u", 10, "i1", "r1", "", "c"), (1, "u", 10, "", "r1", "", "c")], "platform_id bigint, log_user_id string, ms bigint, insertion_id string, request_id string, view_id string, content_id string")
+    rows = [(1, "u", 20, "m1", "i1", "", "", ""), (1, "u", 20, "m2", "", "r1", "", "c"), (1, "u", 20, "m3", "", "", "", "c"), (1, "u", 20, "m4", "i9", "r1", "", "c"), (1, "v", 20, "m5", "", "r1", "", "c")]
+    right = spark.createDataFrame(rows, "platform_id bigint, log_user_id string, ms bigint, impression_id string, insertion_id string, request_id string, view_id string, content_id string")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = A.attribute(left, right, A.INSERTION_IMPRESSION)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    # one for all users, read twice, and two for the busy ones' buckets
+    assert plan.count("- Exchange hashpartitioning") == 3 and plan.count("ReusedExchange") == 1 and "Join" not in plan
+    assert {(r.impression_id, r.left_key, r.kind) for r in joined.collect()} == {("m1", "i1", "explicit"), ("m2", "i1", "inferred"), ("m3", "i1", "inferred")}
+
+
+def test_busy_users_get_the_same(spark, monkeypatch):
+    rnd = random.Random(3)
+    ident = "platform_id bigint, log_user_id string, ms bigint, insertion_id string, request_id string, view_id string, content_id string, other_content_ids array<string>"
+    some = lambda *x: rnd.choice(["", *x])
+    row = lambda key: (1, some("u", "v"), rnd.randrange(9_000), key, some("r1", "r2"), some("v1"), some("a", "b"), rnd.choice([None, [], ["a", "c"]]))
+    left = spark.createDataFrame([row(some(f"i{k % 12}")) for k in range(90)], ident)
+    right = spark.createDataFrame([(*row(some("i3", "i9", "", "", "")), f"m{k % 70}") for k in range(80)], ident + ", impression_id string")
+    for how in ("inner", "right"):
+        o = A.JoinOptions("insertion_id", ("request_id", "content_id"), 900, 200, how, use_contents=True, user_scope=True, right_key=("impression_id",))
+        pick = lambda: sorted((r.impression_id, r.ms, r.left_key, r.left_ms or 0, r.kind) for r in A.attribute(left, right, o).collect())
+        few = pick()
+        with monkeypatch.context() as m:
+            m.setattr(A, "BUSY", 0)
+            assert pick() == few
+        assert {x[-1] for x in few} >= {"explicit", "inferred"}

@@ -11,6 +11,10 @@ from pyspark.sql.types import MapType
 from trailmark.functions import scalars as S
 
 USER = ("platform_id", "log_user_id")
+#: Rows multiply about so much after an attribution's shuffle (scopes, contents), which has so many times the partitions.
+GROWTH = 4
+#: A user with more events than this on both sides is read by time bucket, scope and content, and not in one task.
+BUSY = 50_000
 
 
 @dataclass(frozen=True)
@@ -68,12 +72,35 @@ def contents(df: DataFrame, dimensions: tuple | None = None) -> Column:
     return F.array_distinct(F.filter(every, lambda c: ~S.blank(c)))
 
 
-def _scopes(df: DataFrame, o: JoinOptions) -> Column:
-    """An event's scopes in order: (kind, id). A content's kind is the same whether it is the event's own or another."""
+def _lined(left: DataFrame, right: DataFrame, o: JoinOptions) -> DataFrame:
+    """Both sides in one line of rows dealt by user: the ids they share by name, lists of contents where a side has
+    other ones, and the right rows' other columns as __row."""
+    names = list(dict.fromkeys([o.key, *o.scopes, "content_id"]))
+    more = [c for c in right.columns if c not in (*USER, "ms", *names)]
+    row = F.struct(*more) if more else F.lit(None).cast("string")
+    none = F.lit(None).cast("array<string>")
+    others = "other_content_ids" in left.columns + right.columns
+
+    def side(df: DataFrame, k: int, row: Column) -> DataFrame:
+        ids = [F.col(c) if c in df.columns or c != "content_id" else F.lit(None).cast("string").alias(c) for c in names]
+        lists = (contents(df, o.other_dimensions), contents(df)) if "other_content_ids" in df.columns else (none, none)
+        lists = [c.alias(n) for c, n in zip(lists, ("__scoped", "__shared"), strict=True)] if others else []
+        return df.select(*USER, "ms", *ids, F.lit(k).alias("__side"), *lists, row.alias("__row"))
+
+    rights = side(right, 1, row)
+    lefts = side(left, 0, F.lit(None).cast(rights.schema["__row"].dataType))
+    parts = GROWTH * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return lefts.unionByName(rights).repartition(parts, *USER)
+
+
+def _scopes(df: DataFrame, o: JoinOptions, scoped: Column | None = None) -> Column:
+    """An event's scopes in order: (kind, id). A content's kind is the same whether it is the event's own or another;
+    scoped: the contents that are scopes, where they are at hand."""
     parts = []
     for name in o.scopes:
         if name == "content_id":
-            parts.append(F.transform(contents(df, o.other_dimensions), lambda c: F.struct(F.lit("content").alias("kind"), c.alias("id"))))
+            found = contents(df, o.other_dimensions) if scoped is None else scoped
+            parts.append(F.transform(found, lambda c: F.struct(F.lit("content").alias("kind"), c.alias("id"))))
         else:
             parts.append(F.array(F.struct(F.lit(name).alias("kind"), F.col(name).alias("id"))))
     if o.user_scope:
@@ -81,47 +108,9 @@ def _scopes(df: DataFrame, o: JoinOptions) -> Column:
     return F.concat(*parts) if parts else F.array().cast("array<struct<kind:string,id:string>>")
 
 
-def _inferred(lhs: DataFrame, open_: DataFrame, r_key: list[str], o: JoinOptions) -> DataFrame:
-    """(r_key, left_key, left_ms) of the open right rows that a scope gives a left row.
-
-    Both sides are put together by user, scope, content and time bucket, and the nearest left row is carried along
-    time, so a user's events are read once in order instead of in pairs, and a very busy user is spread over scopes
-    and buckets. A bucket is as long as the time a right row looks around; left rows go to the neighbouring ones too.
-    """
-    width = max(1, o.max_time + o.max_out_of_order)
-    bucket = F.floor(F.col("ms") / width).cast("bigint")
-    key = [*USER, "kind", "id", "content", "bucket"]
-    any_ = F.array(F.lit(""))
-    near = F.array(*[bucket + k for k in ((0, 1) if not o.max_out_of_order else (-1, 0, 1))])
-    left_contents = F.array_union(any_, contents(lhs)) if o.use_contents else any_
-    right_contents = F.when(F.size(contents(open_)) > 0, contents(open_)).otherwise(any_) if o.use_contents else any_
-    left = (
-        lhs.select(*USER, "ms", F.col(o.key).alias("left_key"), F.explode(F.array_distinct(_scopes(lhs, o))).alias("x"), left_contents.alias("c"), near.alias("b"))
-        .where(~S.blank(F.col("x.id")))
-        .select(*USER, "ms", "left_key", "x.*", F.explode("c").alias("content"), "b")
-        .select(*USER, "ms", "left_key", "kind", "id", "content", F.explode("b").alias("bucket"))
-    )
-    right = (
-        open_.select(*USER, "ms", F.struct(*[F.col(k).alias(f"k{n}") for n, k in enumerate(r_key)]).alias("r"), F.posexplode(_scopes(open_, o)).alias("rank", "x"), right_contents.alias("c"), bucket.alias("bucket"))
-        .where(~S.blank(F.col("x.id")))
-        .select(*USER, "ms", "r", "rank", "x.*", F.explode("c").alias("content"), "bucket")
-    )
-    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
-    both = left.select(*key, "ms", F.lit(0).alias("side"), F.struct(F.col("ms").alias("left_ms"), "left_key").alias("left"), none("r", right.schema["r"].dataType), none("rank", "int"))
-    both = both.unionByName(right.select(*key, "ms", F.lit(1).alias("side"), none("left", both.schema["left"].dataType), "r", "rank"))
-    # of left rows with one time the one with the smaller id comes last on the way to the right row
-    upto = Window.partitionBy(*key).orderBy("ms", "side", F.col("left.left_key").desc())
-    found = both.withColumn("back", F.last("left", ignorenulls=True).over(upto.rowsBetween(Window.unboundedPreceding, 0)))
-    sides = ["back"]
-    if o.max_out_of_order:
-        after = Window.partitionBy(*key).orderBy(F.desc("ms"), F.desc("side"), F.col("left.left_key").desc())
-        found = found.withColumn("ahead", F.last("left", ignorenulls=True).over(after.rowsBetween(Window.unboundedPreceding, 0)))
-        sides.append("ahead")
-    found = found.where("side = 1").select("r", "rank", "ms", F.explode(F.array(*sides)).alias("left")).select("r", "rank", "ms", "left.*")
-    found = found.where((F.col("left_ms") >= F.col("ms") - o.max_time) & (F.col("left_ms") <= F.col("ms") + o.max_out_of_order))
-    order = F.struct("rank", F.abs(F.col("ms") - F.col("left_ms")).alias("lag"), (-F.col("left_ms")).alias("late"), "left_key", "ms", "left_ms")
-    best = found.groupBy("r").agg(F.min(order).alias("best"))
-    return best.select(*[F.col(f"r.k{n}").alias(k) for n, k in enumerate(r_key)], "best.left_key", "best.left_ms", F.col("best.ms").alias("ms"))
+def _reader(rows: DataFrame):
+    """Gives a right row's column, wherever rows of `_lined` have it."""
+    return lambda c: F.col(c) if c in rows.columns else F.col(f"__row.{c}")
 
 
 def attribute(left: DataFrame, right: DataFrame, o: JoinOptions) -> DataFrame:
@@ -131,36 +120,110 @@ def attribute(left: DataFrame, right: DataFrame, o: JoinOptions) -> DataFrame:
     their id are ignored, the first of an id counts. A right row with the left's id set joins by it and never falls
     back; one without tries the scopes, and takes the left row nearest in time, the later one of two as near (of equal
     times the smaller id). Blank scope ids never match. kind is explicit, inferred or, for a right join, none.
+
+    Both sides are shuffled once, together, by user, and a user's rows are sorted by id; `_carried` then gives the open
+    ones their nearest left row within the same task. Only users with more than BUSY rows are dealt anew for that.
     """
     r_key = [*USER, *(o.right_key or ())]
-    line = Window.partitionBy(*USER, o.key).orderBy("ms", *o.scopes)
-    lhs = left.where(~S.blank(F.col(o.key))).withColumn("__n", F.row_number().over(line)).where("__n = 1").drop("__n")
+    is_left, blank_key = F.col("__side") == 0, S.blank(F.col(o.key))
+    lined = _lined(left, right, o)
+    at = _reader(lined)
+    whole = lambda names: F.lit(True) if not names else ~F.greatest(F.lit(False), *[at(c).isNull() for c in names])
+
+    by_id = Window.partitionBy(*USER, o.key).orderBy("__side", "ms", *o.scopes)
+    rows = lined.withColumns({"__n": F.row_number().over(by_id), "__met": F.first(is_left).over(by_id), "__l_ms": F.first("ms").over(by_id)})
+    hit = ~is_left & F.col("__met") & ~blank_key & whole(USER)
+    if o.retention:
+        lag = F.col("ms") - F.col("__l_ms")
+        hit = hit & F.coalesce((lag <= o.max_time * o.retention) & (lag >= -o.max_out_of_order), F.lit(False))
+    open_ = ~is_left & blank_key & whole(r_key)
+    for k in o.right_key[:1]:
+        open_ = open_ & ~S.blank(at(k))
+    own = F.when(S.blank(F.col("content_id")), F.array().cast("array<string>")).otherwise(F.array("content_id"))
+    rows = rows.where(~is_left | ((F.col("__n") == 1) & ~blank_key)).withColumns(
+        {"__hit": hit, "__open": open_} | {c: F.coalesce(c, own) if c in lined.columns else own for c in ("__scoped", "__shared")}
+    )
 
-    lag = F.col("ms") - F.col("l_ms")
-    by_id = right.where(~S.blank(F.col(o.key))).join(
-        lhs.select(*USER, o.key, F.lit(True).alias("hit"), F.col("ms").alias("l_ms")), [*USER, o.key], "left"
+    # what the open right rows of a user look in
+    has = {n: ~S.blank(F.col(n)) for n in o.scopes if n != "content_id"} | ({"user": F.lit(True)} if o.user_scope else {})
+    has |= {"content": F.size("__scoped") > 0} if "content_id" in o.scopes else {}
+    user = Window.partitionBy(*USER)
+    any_ = lambda test: F.max(F.col("__open") & test).over(user)
+    sought = F.array_compact(F.array(*[F.when(any_(test), F.lit(n)) for n, test in has.items()]))
+    rows = rows.withColumns({"__sought": sought, "__bare": any_(F.size("__shared") == 0), "__events": F.count(F.lit(1)).over(user)})
+    few = F.col("__events") <= BUSY
+    return _carried(rows.where(few), left, right, o, False).unionByName(_carried(rows.where(~few), left, right, o, True))
+
+
+def _carried(rows: DataFrame, left: DataFrame, right: DataFrame, o: JoinOptions, spread: bool) -> DataFrame:
+    """The result of `attribute` for its marked rows.
+
+    Rows are put in one line by user, scope and content, and the nearest left row is carried along time, so a user's
+    events are read in order instead of in pairs. Left rows are repeated only for the scopes that a right row of the
+    same user looks in, and right rows go through that by their key only. spread: the line is cut into time buckets as
+    long as a right row looks around, which are dealt out with scope and content; left rows go to the neighbouring ones
+    too.
+    """
+    at, is_left = _reader(rows), F.col("__side") == 0
+    scopes, kind, self_row = _scopes(rows, o, F.col("__scoped")), F.col("__x.kind"), F.col("__x.kind") == ""
+    self_ = F.array(F.struct(F.lit("").alias("kind"), F.lit("").alias("id")))
+    tried = F.when(is_left, scopes).when(F.col("__open"), F.concat(scopes, self_)).otherwise(self_)
+    rows = rows.select("*", F.posexplode(tried).alias("__rank", "__x"))
+    rows = rows.where(self_row | (~S.blank(F.col("__x.id")) & (~is_left | F.array_contains("__sought", kind))))
+    content = F.array(F.lit(""))
+    if o.use_contents:
+        lefts = F.when(F.col("__bare"), F.concat(content, "__shared")).otherwise(F.col("__shared"))
+        content = F.when(self_row, content).when(is_left, lefts).when(F.size("__shared") > 0, F.col("__shared")).otherwise(content)
+    rows = rows.select(
+        *USER, "ms", "__side", "__hit", "__open", "__l_ms", kind.alias("kind"), F.col("__x.id").alias("id"), F.explode(content).alias("content"), F.col("__rank").alias("rank"),
+        F.when(is_left, F.col(o.key)).alias("left_key"), *[F.when(~is_left, at(c)).alias(f"__k{n}") for n, c in enumerate(o.right_key or ())],
+        F.when(self_row, F.struct(*[at(c).alias(c) for c in right.columns])).alias("__row"),
     )
-    if o.retention:
-        near = (lag <= o.max_time * o.retention) & (lag >= -o.max_out_of_order)
-        by_id = by_id.withColumn("hit", F.when(near, F.col("hit")))
-    explicit = by_id.where("hit").select(*right.columns, F.col(o.key).alias("left_key"), F.col("l_ms").alias("left_ms"), F.lit("explicit").alias("kind"))
 
-    open_ = right.where(S.blank(F.col(o.key)))
-    for k in o.right_key[:1]:
-        open_ = open_.where(~S.blank(F.col(k)))
+    # of left rows with one time the one with the smaller id comes last on the way to the right row
+    ms, left_row = F.col("ms"), F.when(is_left, F.struct(F.col("ms").alias("left_ms"), "left_key"))
+    key = [*USER, "kind", "id", "content"]
+    if spread:
+        bucket = F.floor(F.col("ms") / max(1, o.max_time + o.max_out_of_order)).cast("bigint")
+        near = F.array(*[bucket + k for k in ((0, 1) if not o.max_out_of_order else (-1, 0, 1))])
+        key.append("bucket")
+        rows = rows.withColumn("bucket", F.explode(F.when(is_left, near).otherwise(F.array(bucket)))).repartition(*key)
+    upto = Window.partitionBy(*key).orderBy("ms", "__side", F.desc("left_key")).rowsBetween(Window.unboundedPreceding, 0)
+    sides = {"back": F.last(left_row, ignorenulls=True).over(upto)}
+    if o.max_out_of_order:
+        after = Window.partitionBy(*key).orderBy(F.desc("ms"), F.desc("__side"), F.desc("left_key")).rowsBetween(Window.unboundedPreceding, 0)
+        sides["ahead"] = F.last(left_row, ignorenulls=True).over(after)
+
+    def placed(side: str) -> Column:
+        l_ms, l_key = F.col(f"{side}.left_ms"), F.col(f"{side}.left_key")
+        order = F.struct("rank", F.abs(ms - l_ms).alias("lag"), (-l_ms).alias("late"), l_key.alias("left_key"), "ms", l_ms.alias("left_ms"))
+        return F.when((l_ms >= ms - o.max_time) & (l_ms <= ms + o.max_out_of_order), order)
+
+    near = [placed(side) for side in sides]
+    self_row = F.col("kind") == ""
+    rows = rows.withColumns(sides).where(~is_left)
+    rows = rows.withColumn("near", F.when(~self_row, F.least(*near) if len(near) > 1 else near[0])).where(self_row | F.col("near").isNotNull())
+
     # of right rows with one key the one that is nearest to its left row counts
-    found = _inferred(lhs, open_, r_key, o)
-    once = Window.partitionBy(*r_key).orderBy("ms")
-    joined_open = open_.join(found, [*r_key, "ms"]).withColumn("__n", F.row_number().over(once)).where("__n = 1")
-    inferred = joined_open.select(*right.columns, "left_key", "left_ms", F.lit("inferred").alias("kind"))
-    joined = explicit.unionByName(inferred)
-    if o.how == "inner":
-        return joined
-    seen = joined.select(*r_key).distinct()
-    alone = right.join(seen, r_key, "left_anti").select(
-        "*", F.lit("").alias("left_key"), F.lit(None).cast("bigint").alias("left_ms"), F.lit("none").alias("kind")
+    keys = [*USER, *[f"__k{n}" for n in range(len(o.right_key or ()))]]
+    line = Window.partitionBy(*keys).orderBy("ms")
+    every = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.select(*keys, "ms", "kind", "__hit", "__open", "__l_ms", "__row", F.min("near").over(every).alias("best"), F.max("__hit").over(every).alias("__hits"))
+    pick = self_row & F.col("__open") & F.col("best").isNotNull() & (F.col("ms") == F.col("best.ms"))
+    nth = F.sum(F.when(pick, 1).otherwise(0)).over(line.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumns({"__pick": F.coalesce(pick, F.lit(False)), "__nth": nth}).where(self_row)
+    inferred = F.col("__pick") & (F.col("__nth") == 1)
+    kind = F.when(F.col("__hit"), "explicit").when(inferred, "inferred")
+    if o.how != "inner":
+        unkeyed = F.greatest(F.lit(False), *[F.col(c).isNull() for c in keys])
+        kind = kind.when(unkeyed | ~(F.col("__hits") | F.col("best").isNotNull()), "none")
+    key_type = left.schema[o.key].dataType
+    return rows.withColumn("__kind", kind).where("__kind IS NOT NULL").select(
+        *[F.col(f"__row.{c}").cast(right.schema[c].dataType).alias(c) for c in right.columns],
+        F.when(F.col("__kind") == "explicit", F.col(f"__row.{o.key}")).when(F.col("__kind") == "inferred", F.col("best.left_key")).otherwise("").cast(key_type).alias("left_key"),
+        F.when(F.col("__kind") == "explicit", F.col("__l_ms")).when(F.col("__kind") == "inferred", F.col("best.left_ms")).alias("left_ms"),
+        F.col("__kind").alias("kind"),
     )
-    return joined.unionByName(alone)
 
 
 def dropped(right: DataFrame, joined: DataFrame, keys: list[str]) -> DataFrame:
