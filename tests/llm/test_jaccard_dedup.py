@@ -4,7 +4,7 @@ import random
 import re
 
 import corpus_pipeline
-from trailmark.llm import jaccard_dedup
+from trailmark.llm import jaccard_dedup, simhash_dedup
 
 DOCS = "doc_id bigint, text string, source string"
 
@@ -55,3 +55,22 @@ def test_keep_one_odd_rows(spark):
     assert len(got) == 4
     assert sum(r.text.startswith("w0 ") for r in got) == 1
     assert jaccard_dedup.keep_one(docs.limit(0)).collect() == []
+
+
+def test_stage_takes_candidates_from_simhash(spark, monkeypatch):
+    """Near copies that no band holds are found through their fingerprints; texts with one fingerprint but few common
+    shingles stay apart."""
+    base = " ".join(f"w{k}" for k in range(400))
+    cycle = " ".join("a b c d e f g".split() * 200)
+    rows = [(1, base), (2, base + " end"), (3, "other " + base), (4, "q r s t u v w")]
+    rows += [(k, cycle + " " + " ".join(f"x{k}_{j}" for j in range(9))) for k in (5, 6)]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], DOCS)
+    unmet = {"bands": 1, "depth": 8000}
+    assert len(jaccard_dedup.keep_one(docs.where("doc_id <= 2"), **unmet).collect()) == 2
+    got = jaccard_dedup.keep_one(docs, **unmet, near=simhash_dedup.text_roots(docs)).collect()
+    assert sorted(r.doc_id for r in got) == [1, 4, 5, 6]
+    asked = []
+    find = simhash_dedup.text_roots
+    monkeypatch.setattr(simhash_dedup, "text_roots", lambda d: asked.append(1) or find(d))
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == [1, 4, 5, 6]
+    assert asked

@@ -3,7 +3,8 @@
 Two texts link when their sets of SPAN-word shingles (64-bit hashes; shorter texts are one shingle) have a Jaccard
 similarity of LEAST or more. Candidates meet in bands of MinHashes: DEPTH equal minima in one of BANDS bands. A pair
 at similarity s misses every band with probability (1 - s^DEPTH)^BANDS, 5 in a million at 0.8 and less above it. All
-links are then decided by the whole sets.
+links are then decided by the whole sets. Components that another method found (the pipeline's: SimHash with covering
+tables) are candidates too.
 
 Equal sets are first made one, and of bands with the same members one stays. Within a band the links are found by a
 search that compares each set only with those not yet reached and passes on a spanning tree: no more edges than
@@ -157,11 +158,15 @@ def _band_links(least: tuple[int, int]):
     return run
 
 
-def _candidates(rows: DataFrame) -> DataFrame:
-    """(band, part, set_key) of the bands with several sets; of bands with the same members one stays."""
+def _candidates(rows: DataFrame, near: DataFrame | None) -> DataFrame:
+    """(band, part, set_key) of the bands with several sets; of bands with the same members one stays. The components of
+    near are one more band."""
     placed = rows.groupBy("set_key").agg(F.first("bands").alias("bands")).select(
         "set_key", F.posexplode("bands").alias("band", "part")
     )
+    if near is not None:
+        sets = rows.select("text_key", "set_key").distinct().join(near, "text_key")
+        placed = placed.unionByName(sets.select("set_key", F.lit(-1).alias("band"), F.col("root").alias("part")).distinct())
     placed = written(placed, "bands")
     named = placed.groupBy("band", "part").agg(
         F.count(F.lit(1)).alias("n"),
@@ -174,11 +179,13 @@ def _candidates(rows: DataFrame) -> DataFrame:
 
 
 def keep_one(
-    docs: DataFrame, span: int = SPAN, least: tuple[int, int] = LEAST, bands: int = BANDS, depth: int = DEPTH
+    docs: DataFrame, span: int = SPAN, least: tuple[int, int] = LEAST, bands: int = BANDS, depth: int = DEPTH,
+    near: DataFrame | None = None,
 ) -> DataFrame:
     """The rows of docs with one document of each component left: the one with the least doc_id (null ids last, then
     by text key; of rows with that id and text the one with the least row key, so a rerun keeps the same). Null and
-    blank texts are equal. An empty table gives no rows."""
+    blank texts are equal. An empty table gives no rows. near: (text_key, root) of components found by another method,
+    whose members are candidates as those of a band are."""
     keyed = docs.select("doc_id", _text_key(F.col("text")).alias("text_key"), _word_hashes(F.col("text")).alias("w"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = written(
@@ -187,7 +194,7 @@ def keep_one(
         ),
         "signatures",
     )
-    met = _candidates(rows)
+    met = _candidates(rows, near)
     reps = rows.join(met.select("set_key").distinct(), "set_key", "left_semi").groupBy("set_key").agg(
         F.min("text_key").alias("text_key")
     )

@@ -164,6 +164,12 @@ def near_components(docs: DataFrame, span: int = SPAN, radius: int = RADIUS) ->
     )
 
 
+def text_roots(docs: DataFrame, span: int = SPAN, radius: int = RADIUS) -> DataFrame:
+    """(text_key, root) for each different text of docs: the least fingerprint of its component."""
+    rows = written(fingerprints(docs, span), "fingerprints")
+    return rows.join(_placed(rows, radius), "fp").select("text_key", "root").distinct()
+
+
 def keep_one(docs: DataFrame, span: int = SPAN, radius: int = RADIUS) -> DataFrame:
     """The rows of docs with one document of each component left, with docs' own columns: the one with the least doc_id
     (null ids last, then by text key; of rows with that id and text the one with the least row key, so a rerun keeps

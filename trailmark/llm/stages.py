@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import byte_bpe, exact_dedup, jaccard_dedup, mixing, toxicity
+from trailmark.llm import byte_bpe, exact_dedup, jaccard_dedup, mixing, simhash_dedup, toxicity
 from trailmark.llm.common import table, written
 
 #: Some stages have no equal in SQL (the toxicity model, near copies, BPE merges).
@@ -31,10 +31,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component of near copies (five-word shingles, Jaccard similarity 0.8 or more): that with the
-    smallest doc_id, with docs' own columns. Wordless texts, null ones included, are one component; null ids, rows with
-    one id, repeated rows and empty tables as in `drop_copies`."""
-    return jaccard_dedup.keep_one(docs)
+    """One row of each component of near copies: that with the smallest doc_id, with docs' own columns. Candidates are the
+    components of op7's SimHash fingerprints, whose covering tables miss no pair within their few bits, and, for pairs
+    beyond those bits, MinHash bands; an exact check follows: five-word shingles, Jaccard similarity 0.8 or more.
+    Wordless texts, null ones included, are one component; null ids, rows with one id, repeated rows and empty tables as
+    in `drop_copies`."""
+    return jaccard_dedup.keep_one(docs, near=simhash_dedup.text_roots(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
