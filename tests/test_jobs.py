@@ -30,6 +30,13 @@ def test_flat_output_joins_every_event(spark):
     assert out["flat_session"].agg(F.sum(F.size("action_ids"))).first()[0] == n
 
 
+def test_flat_output_writes_each_step_once(spark):
+    """Impressions are ranked once for roots, redundant ones and actions, and left ids are joined in one step."""
+    names = []
+    jobs.flat_output(*funnel_parts(spark, redundant=20), cut=lambda df, name: names.append(name) or df)
+    assert names == ["delivered", "shown", "acted", "ranked", "pointed"]
+
+
 def test_flat_output_infers_missing_ids(spark):
     views, ins, imp, act = funnel_parts(spark, missing_impression_id=100)
     out = jobs.flat_output(views, ins, imp, act)

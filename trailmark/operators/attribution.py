@@ -258,12 +258,13 @@ def split_cart(actions: DataFrame, cart_types: tuple[int, ...] = (3, 8)) -> Data
     return out.withColumns({c: F.when(F.col("__has"), "").otherwise(F.col(c)) for c in foreign}).drop("__has", "cart")
 
 
-def reduce_redundant(impressions: DataFrame, actions: DataFrame, ttl: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def reduce_redundant(impressions: DataFrame, actions: DataFrame, ttl: int, cut=None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(roots, redundant impressions, actions re-pointed to their root).
 
     Impressions of one insertion (else of one view and content) within `ttl` of the first are redundant; a later one
     opens a new root. Actions take all ids and the content of the root in force at their time, else of the first root
-    after it (they waited for it); without any root they stay as they are.
+    after it (they waited for it); without any root they stay as they are. cut(df, name) may write the ranked
+    impressions, which all three are made of, and give back what it reads.
     """
     from trailmark.operators.dedupe import with_first
 
@@ -277,6 +278,7 @@ def reduce_redundant(impressions: DataFrame, actions: DataFrame, ttl: int) -> tu
     grouped = with_first(keyed(impressions), keys, "ms", ["impression_id"], ttl)
     line = Window.partitionBy(*keys, "first_ms").orderBy("ms", "impression_id")
     ranked = grouped.withColumn("__n", F.row_number().over(line))
+    ranked = cut(ranked, "ranked") if cut else ranked
     roots = ranked.where("__n = 1").drop("__n", "first_ms")
     redundant = ranked.where("__n > 1").drop("__n", "first_ms", "root_a", "root_b")
     ids = ["impression_id", "insertion_id", "request_id", "view_id", "content_id"]

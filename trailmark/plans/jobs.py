@@ -81,16 +81,16 @@ def _with_left(joined: DataFrame, left: DataFrame, key: str, ids: list[str]) ->
     return joined.join(side, [*A.USER, "left_key"], "left")
 
 
-def with_left_ids(joined: DataFrame, left: DataFrame, key: str, ids: list[str]) -> DataFrame:
-    """Attributed rows with the left event's ids where it has them (left wins), its key included."""
-    rows = _with_left(joined, left, key, ids)
+def _merged(rows: DataFrame, key: str, ids: list[str]) -> DataFrame:
+    """Rows of `_with_left` with the left event's ids where it has them (left wins), its key included."""
     rows = rows.withColumns({c: S.merged(F.col(f"__{c}"), F.col(c), "") for c in ids} | {key: S.merged(F.col("left_key"), F.col(key), "")})
     return rows.drop("left_key", "left_ms", "kind", *[f"__{c}" for c in ids])
 
 
-def _mismatched(joined: DataFrame, left: DataFrame, key: str, ids: list[str], record: str, own: str) -> DataFrame:
-    """(record_type, user key, ms, id, field, lhs, rhs) of ids that both sides have and that differ."""
-    both = _with_left(joined, left, key, ids).select(F.lit(record).alias("record_type"), *A.USER, "ms", F.col(own).alias("id"), *ids, *[f"__{c}" for c in ids])
+def _mismatched(rows: DataFrame, ids: list[str], record: str, own: str) -> DataFrame:
+    """Of rows of `_with_left`: (record_type, user key, ms, id, field, lhs, rhs) of ids that both sides have and that
+    differ."""
+    both = rows.select(F.lit(record).alias("record_type"), *A.USER, "ms", F.col(own).alias("id"), *ids, *[f"__{c}" for c in ids])
     return A.mismatches(both, {c: (f"__{c}", c) for c in ids})
 
 
@@ -110,14 +110,14 @@ def flat_output(views: DataFrame, insertions: DataFrame, impressions: DataFrame,
     carted = actions if cart else actions.withColumn("cart", F.lit(None).cast("array<struct<content_id:string,quantity:bigint>>"))
     actions, bad_actions = K.validated(carted, K.action_errors(), "ACTION", [*A.USER, "ms", "action_id"])
     actions = actions if cart else actions.drop("cart")
-    delivered = cut(with_left_ids(A.attribute(views, insertions, o.view_insertion), views, "view_id", []), "delivered")
-    shown = cut(A.attribute(delivered, impressions, o.insertion_impression), "shown")
-    above = ["request_id", "view_id", "content_id"]
-    joined = cut(with_left_ids(shown, delivered, "insertion_id", above), "joined")
-    acted = cut(A.attribute(joined, actions, o.impression_action), "acted")
-    found = cut(with_left_ids(acted, joined, "impression_id", ["insertion_id", "request_id", "view_id"]), "found")
-    roots, redundant, pointed = A.reduce_redundant(joined, found, o.redundancy_ms)
-    roots, pointed = cut(roots, "roots"), cut(pointed, "pointed")
+    above, shown_ids = ["request_id", "view_id", "content_id"], ["insertion_id", "request_id", "view_id"]
+    delivered = cut(_merged(A.attribute(views, insertions, o.view_insertion), "view_id", []), "delivered")
+    shown = cut(_with_left(A.attribute(delivered, impressions, o.insertion_impression), delivered, "insertion_id", above), "shown")
+    joined = _merged(shown, "insertion_id", above)
+    acted = cut(_with_left(A.attribute(joined, actions, o.impression_action), joined, "impression_id", shown_ids), "acted")
+    found = _merged(acted, "impression_id", shown_ids)
+    roots, redundant, pointed = A.reduce_redundant(joined, found, o.redundancy_ms, cut)
+    pointed = cut(pointed, "pointed")
     timed = lambda df: df.withColumn("ts", F.timestamp_millis("ms"))
     ident = lambda df, c: df.withColumnRenamed(c, "id")
     return {
@@ -130,9 +130,7 @@ def flat_output(views: DataFrame, insertions: DataFrame, impressions: DataFrame,
         "flat_session": T.sessions(timed(roots), timed(pointed), o.session_gap),
         "latest_impressions": T.latest_impressions(pointed, roots, o.latest_window_ms, o.latest_most),
         "validation_error": ident(bad_impressions, "impression_id").unionByName(ident(bad_actions, "action_id")),
-        "mismatch_error": _mismatched(shown, delivered, "insertion_id", above, "IMPRESSION", "impression_id").unionByName(
-            _mismatched(acted, joined, "impression_id", ["insertion_id", "request_id", "view_id"], "ACTION", "action_id")
-        ),
+        "mismatch_error": _mismatched(shown, above, "IMPRESSION", "impression_id").unionByName(_mismatched(acted, shown_ids, "ACTION", "action_id")),
         "debug_partial_response_insertion": delivered.where(S.blank(F.col("view_id"))),
     }
 
