@@ -1,14 +1,17 @@
 """Streamed attribution against the batch form, late rows, Avro records, look-ups, writers."""
 
 import json
+import os
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from trailmark import catalog
 from trailmark.operators import attribution as A
 from trailmark.operators import hydrate
-from trailmark.plans import jobs
+from trailmark.plans import jobs, outputs
 from trailmark.plans.flows import replay, scratch
 from trailmark.sources import files, sinks
 from trailmark.streaming import flows
@@ -40,6 +43,43 @@ def test_streamed_attribution_is_the_batch_form(spark, seed, ooo, contents):
     assert want and {r.id for r in out if r.kind == "dropped"} == {r[3] for r in rows_of(seed)[1]} - {w[1] for w in want}
 
 
+@pytest.mark.parametrize("retention", [0, 1])
+def test_join_by_id_is_the_explicit_part_of_attribution(spark, retention):
+    left, right = (spark.createDataFrame(rows, schema) for rows, schema in zip(rows_of(4), (LEFT, RIGHT), strict=True))
+    left = left.unionByName(left.limit(9).withColumns({"ms": F.col("ms") + 1, "view_id": F.lit("later")}))
+    o = A.JoinOptions("impression_id", ("insertion_id", "request_id", "view_id", "content_id"), 12, 6, use_contents=True, retention=retention, right_key=("action_id",))
+    whole = A.attribute(left, right, o)
+    got = A.by_id(left, right, o, ["view_id"])
+    assert got.columns == [*whole.columns, "__view_id"] and got.where("__view_id = 'later'").count() == 0
+    key = lambda df: sorted(map(str, df.select(whole.columns).collect()))
+    assert key(got) == key(whole.where("kind = 'explicit'")) and got.count()
+    others = A.attribute(left, right.where("impression_id = ''"), o)
+    assert key(others) == key(whole.where("kind = 'inferred'")) and others.count()
+    assert key(A.attribute(left, right, o, busy=A.has_busy(left, right))) == key(whole)
+
+
+def test_only_redundant_impressions(spark):
+    imp = spark.createDataFrame(rows_of(5)[0], LEFT).drop("other_content_ids")
+    _, want, _ = A.reduce_redundant(imp, imp.withColumn("action_id", F.lit("a")), 9)
+    key = lambda df: sorted(map(str, df.select(imp.columns).collect()))
+    assert key(A.redundant(imp, 9)) == key(want) and want.count()
+
+
+def test_side_tables_by_parts_of_the_users(spark, small, tmp_path, monkeypatch):
+    """The parts' side tables together are those of all users, and no part leaves its lines or steps behind."""
+    names = []
+    monkeypatch.setattr(outputs, "PART_LINES", 3_500)
+    monkeypatch.setattr(outputs, "scratch", lambda s, tag: names.append(tag) or f"file://{tmp_path}/{tag}-{len(names)}")
+    got = outputs.flat_side_tables(spark, small)
+    c = duckdb.connect()
+    for t in ("orders", "lineitem"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{small}/{t}.parquet'")
+    want = c.execute(catalog.oracle_sql()["snk18_flat_side_tables"]).fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert names == ["lines", "flat", "steps", "steps"] and os.listdir(tmp_path) == ["flat-2"]
+    assert set(os.listdir(tmp_path / "flat-2")) == {"etl_side"} and spark.conf.get(outputs._CLEANUP) == "false"
+
+
 def test_streamed_attribution_names_repeats(spark):
     events = [(1, "u", 1, False, "m", '["x"]', ""), (1, "u", 1, False, "m", '["x"]', ""), (1, "u", 2, True, "a", '[["x"]]', ""), (1, "u", 2, True, "a", '[["x"]]', ""), (0, "end", END, False, "end", "[]", "")]
     df = spark.createDataFrame(events, "platform_id bigint, log_user_id string, ms bigint, is_right boolean, id string, scopes string, left_id string").withColumn("ts", F.timestamp_millis("ms"))

@@ -11,6 +11,8 @@ from pyspark.sql.types import MapType
 from trailmark.functions import scalars as S
 
 USER = ("platform_id", "log_user_id")
+#: The user as windows sort by it: a sort compares the first eight bytes first, and platforms are few.
+_SORTED = USER[::-1]
 #: Rows multiply about so much after an attribution's shuffle (scopes, contents), which has so many times the partitions.
 GROWTH = 4
 #: A user with more events than this on both sides is read by time bucket, scope and content, and not in one task.
@@ -113,7 +115,13 @@ def _reader(rows: DataFrame):
     return lambda c: F.col(c) if c in rows.columns else F.col(f"__row.{c}")
 
 
-def attribute(left: DataFrame, right: DataFrame, o: JoinOptions) -> DataFrame:
+def has_busy(left: DataFrame, right: DataFrame) -> bool:
+    """Whether any user has more than BUSY events on both sides."""
+    events = left.select(*USER).unionByName(right.select(*USER)).groupBy(*_SORTED).count()
+    return events.where(F.col("count") > BUSY).limit(1).count() > 0
+
+
+def attribute(left: DataFrame, right: DataFrame, o: JoinOptions, busy: bool = True) -> DataFrame:
     """(right's columns, left_key, left_ms, kind): the left event of each right one.
 
     left and right: platform_id, log_user_id, ms, and the ids named in the options ('' where absent). Left rows without
@@ -122,7 +130,8 @@ def attribute(left: DataFrame, right: DataFrame, o: JoinOptions) -> DataFrame:
     times the smaller id). Blank scope ids never match. kind is explicit, inferred or, for a right join, none.
 
     Both sides are shuffled once, together, by user, and a user's rows are sorted by id; `_carried` then gives the open
-    ones their nearest left row within the same task. Only users with more than BUSY rows are dealt anew for that.
+    ones their nearest left row within the same task. Only users with more than BUSY rows are dealt anew for that; busy:
+    False where it is known that there are none.
     """
     r_key = [*USER, *(o.right_key or ())]
     is_left, blank_key = F.col("__side") == 0, S.blank(F.col(o.key))
@@ -130,7 +139,7 @@ def attribute(left: DataFrame, right: DataFrame, o: JoinOptions) -> DataFrame:
     at = _reader(lined)
     whole = lambda names: F.lit(True) if not names else ~F.greatest(F.lit(False), *[at(c).isNull() for c in names])
 
-    by_id = Window.partitionBy(*USER, o.key).orderBy("__side", "ms", *o.scopes)
+    by_id = Window.partitionBy(*_SORTED, o.key).orderBy("__side", "ms", *o.scopes)
     rows = lined.withColumns({"__n": F.row_number().over(by_id), "__met": F.first(is_left).over(by_id), "__l_ms": F.first("ms").over(by_id)})
     hit = ~is_left & F.col("__met") & ~blank_key & whole(USER)
     if o.retention:
@@ -147,10 +156,12 @@ def attribute(left: DataFrame, right: DataFrame, o: JoinOptions) -> DataFrame:
     # what the open right rows of a user look in
     has = {n: ~S.blank(F.col(n)) for n in o.scopes if n != "content_id"} | ({"user": F.lit(True)} if o.user_scope else {})
     has |= {"content": F.size("__scoped") > 0} if "content_id" in o.scopes else {}
-    user = Window.partitionBy(*USER)
+    user = Window.partitionBy(*_SORTED)
     any_ = lambda test: F.max(F.col("__open") & test).over(user)
     sought = F.array_compact(F.array(*[F.when(any_(test), F.lit(n)) for n, test in has.items()]))
     rows = rows.withColumns({"__sought": sought, "__bare": any_(F.size("__shared") == 0), "__events": F.count(F.lit(1)).over(user)})
+    if not busy:
+        return _carried(rows, left, right, o, False)
     few = F.col("__events") <= BUSY
     return _carried(rows.where(few), left, right, o, False).unionByName(_carried(rows.where(~few), left, right, o, True))
 
@@ -182,7 +193,7 @@ def _carried(rows: DataFrame, left: DataFrame, right: DataFrame, o: JoinOptions,
 
     # of left rows with one time the one with the smaller id comes last on the way to the right row
     ms, left_row = F.col("ms"), F.when(is_left, F.struct(F.col("ms").alias("left_ms"), "left_key"))
-    key = [*USER, "kind", "id", "content"]
+    key = [*_SORTED, "kind", "id", "content"]
     if spread:
         bucket = F.floor(F.col("ms") / max(1, o.max_time + o.max_out_of_order)).cast("bigint")
         near = F.array(*[bucket + k for k in ((0, 1) if not o.max_out_of_order else (-1, 0, 1))])
@@ -206,7 +217,7 @@ def _carried(rows: DataFrame, left: DataFrame, right: DataFrame, o: JoinOptions,
 
     # of right rows with one key the one that is nearest to its left row counts
     keys = [*USER, *[f"__k{n}" for n in range(len(o.right_key or ()))]]
-    line = Window.partitionBy(*keys).orderBy("ms")
+    line = Window.partitionBy(*keys[::-1]).orderBy("ms")
     every = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.select(*keys, "ms", "kind", "__hit", "__open", "__l_ms", "__row", F.min("near").over(every).alias("best"), F.max("__hit").over(every).alias("__hits"))
     pick = self_row & F.col("__open") & F.col("best").isNotNull() & (F.col("ms") == F.col("best.ms"))
@@ -226,9 +237,36 @@ def _carried(rows: DataFrame, left: DataFrame, right: DataFrame, o: JoinOptions,
     )
 
 
+def by_id(left: DataFrame, right: DataFrame, o: JoinOptions, ids: list[str]) -> DataFrame:
+    """The explicit rows that `attribute` gives for an inner join, each with the named ids of its left event under
+    __<id>. Right rows without the left's id are ignored; the others never fall back, so the two can be taken apart.
+
+    Both sides are shuffled once, together, by user and id, and sorted once.
+    """
+    key, named = F.col(o.key), ~S.blank(F.col(o.key))
+    more = [c for c in right.columns if c not in (*USER, "ms", o.key)]
+    row = F.struct(*more) if more else F.lit(None).cast("string")
+    rights = right.where(named).select(*USER, key, "ms", F.lit(1).alias("__side"), row.alias("__row"))
+    found = F.struct(F.col("ms").alias("left_ms"), *ids).alias("__left")
+    lefts = left.where(named).select(*USER, key, "ms", F.lit(0).alias("__side"), F.lit(None).cast(rights.schema["__row"].dataType).alias("__row"), found)
+    rights = rights.withColumn("__left", F.lit(None).cast(lefts.schema["__left"].dataType))
+    line = Window.partitionBy(o.key, *_SORTED).orderBy("__side", "ms", "__left")
+    rows = lefts.unionByName(rights).withColumn("__left", F.first("__left").over(line))
+    whole = F.col("__left").isNotNull() & F.col(USER[0]).isNotNull() & F.col(USER[1]).isNotNull()
+    rows = rows.where((F.col("__side") == 1) & whole)
+    if o.retention:
+        lag = F.col("ms") - F.col("__left.left_ms")
+        rows = rows.where((lag <= o.max_time * o.retention) & (lag >= -o.max_out_of_order))
+    return rows.select(
+        *[F.col(f"__row.{c}").alias(c) if c in more else F.col(c) for c in right.columns],
+        key.cast(left.schema[o.key].dataType).alias("left_key"), F.col("__left.left_ms").alias("left_ms"), F.lit("explicit").alias("kind"), *[F.col(f"__left.{c}").alias(f"__{c}") for c in ids],
+    )
+
+
 def dropped(right: DataFrame, joined: DataFrame, keys: list[str]) -> DataFrame:
     """The right rows an inner attribution has left over."""
-    return right.join(joined.select(*keys).distinct(), keys, "left_anti")
+    rest = right.join(joined.select(*keys), keys[::-1], "left_anti")
+    return rest.select(*keys, *[c for c in right.columns if c not in keys])
 
 
 def mismatches(joined: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
@@ -258,6 +296,37 @@ def split_cart(actions: DataFrame, cart_types: tuple[int, ...] = (3, 8)) -> Data
     return out.withColumns({c: F.when(F.col("__has"), "").otherwise(F.col(c)) for c in foreign}).drop("__has", "cart")
 
 
+ROOT = (*USER, "root_a", "root_b")
+
+
+def _rooted(df: DataFrame) -> DataFrame:
+    """df with what its root is found by: the insertion, else view and content."""
+    by_insertion = ~S.blank(F.col("insertion_id"))
+    return df.withColumn("root_a", F.when(by_insertion, F.col("insertion_id")).otherwise(F.col("view_id"))).withColumn(
+        "root_b", F.when(by_insertion, F.lit("")).otherwise(F.col("content_id"))
+    )
+
+
+def _ranked(rooted: DataFrame, ttl: int) -> DataFrame:
+    from trailmark.operators.dedupe import with_first
+
+    grouped = with_first(rooted, list(ROOT), "ms", ["impression_id"], ttl)
+    line = Window.partitionBy(*ROOT, "first_ms").orderBy("ms", "impression_id")
+    return grouped.withColumn("__n", F.row_number().over(line))
+
+
+def _redundant(ranked: DataFrame) -> DataFrame:
+    return ranked.where("__n > 1").drop("__n", "first_ms", "root_a", "root_b")
+
+
+def redundant(impressions: DataFrame, ttl: int) -> DataFrame:
+    """Only the redundant impressions of `reduce_redundant`. An impression that is alone at its insertion (else view and
+    content) can't be one, so only the others are ranked."""
+    rooted = _rooted(impressions)
+    met = rooted.withColumn("__met", F.count(F.lit(1)).over(Window.partitionBy(*ROOT[2:], *_SORTED))).where("__met > 1").drop("__met")
+    return _redundant(_ranked(met, ttl))
+
+
 def reduce_redundant(impressions: DataFrame, actions: DataFrame, ttl: int, cut=None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(roots, redundant impressions, actions re-pointed to their root).
 
@@ -266,27 +335,16 @@ def reduce_redundant(impressions: DataFrame, actions: DataFrame, ttl: int, cut=N
     after it (they waited for it); without any root they stay as they are. cut(df, name) may write the ranked
     impressions, which all three are made of, and give back what it reads.
     """
-    from trailmark.operators.dedupe import with_first
-
-    def keyed(df: DataFrame) -> DataFrame:
-        by_insertion = ~S.blank(F.col("insertion_id"))
-        return df.withColumn("root_a", F.when(by_insertion, F.col("insertion_id")).otherwise(F.col("view_id"))).withColumn(
-            "root_b", F.when(by_insertion, F.lit("")).otherwise(F.col("content_id"))
-        )
-
-    keys = [*USER, "root_a", "root_b"]
-    grouped = with_first(keyed(impressions), keys, "ms", ["impression_id"], ttl)
-    line = Window.partitionBy(*keys, "first_ms").orderBy("ms", "impression_id")
-    ranked = grouped.withColumn("__n", F.row_number().over(line))
+    keys = list(ROOT)
+    ranked = _ranked(_rooted(impressions), ttl)
     ranked = cut(ranked, "ranked") if cut else ranked
     roots = ranked.where("__n = 1").drop("__n", "first_ms")
-    redundant = ranked.where("__n > 1").drop("__n", "first_ms", "root_a", "root_b")
     ids = ["impression_id", "insertion_id", "request_id", "view_id", "content_id"]
     marked = roots.select(*keys, "ms", F.lit(0).alias("side"), F.struct(*ids).alias("root"), F.lit(None).cast("string").alias("action_id"), F.lit(None).cast("struct<" + ",".join(f"{c}:string" for c in ids) + ">").alias("own"))
-    acts = keyed(actions).select(*keys, "ms", F.lit(1).alias("side"), F.lit(None).cast(marked.schema["root"].dataType).alias("root"), "action_id", F.struct(*ids).alias("own"))
+    acts = _rooted(actions).select(*keys, "ms", F.lit(1).alias("side"), F.lit(None).cast(marked.schema["root"].dataType).alias("root"), "action_id", F.struct(*ids).alias("own"))
     order = Window.partitionBy(*keys).orderBy("ms", "side", "action_id")
     back = F.last("root", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
     ahead = F.first("root", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
     placed = marked.unionByName(acts).withColumn("to", F.coalesce(back, ahead, F.col("own"))).where("side = 1")
     pointed = placed.select(*USER, "ms", "action_id", *[F.col(f"to.{c}").alias(c) for c in ids])
-    return roots.drop("root_a", "root_b"), redundant, pointed
+    return roots.drop("root_a", "root_b"), _redundant(ranked), pointed

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -81,6 +81,15 @@ def _with_left(joined: DataFrame, left: DataFrame, key: str, ids: list[str]) ->
     return joined.join(side, [*A.USER, "left_key"], "left")
 
 
+def _attributed(left: DataFrame, right: DataFrame, o: A.JoinOptions, ids: list[str], probe: bool) -> DataFrame:
+    """Right rows attributed by an inner join, with the left event's ids beside their own: those that name it are joined
+    by id, and only the others go through the scopes. probe: looks first whether there are others."""
+    named, others = A.by_id(left, right, o, ids), right.where(S.blank(F.col(o.key)))
+    if probe and not others.select(F.lit(1)).limit(1).count():
+        return named
+    return named.unionByName(_with_left(A.attribute(left, others, o), left, o.key, ids))
+
+
 def _merged(rows: DataFrame, key: str, ids: list[str]) -> DataFrame:
     """Rows of `_with_left` with the left event's ids where it has them (left wins), its key included."""
     rows = rows.withColumns({c: S.merged(F.col(f"__{c}"), F.col(c), "") for c in ids} | {key: S.merged(F.col("left_key"), F.col(key), "")})
@@ -94,7 +103,7 @@ def _mismatched(rows: DataFrame, ids: list[str], record: str, own: str) -> DataF
     return A.mismatches(both, {c: (f"__{c}", c) for c in ids})
 
 
-def flat_output(views: DataFrame, insertions: DataFrame, impressions: DataFrame, actions: DataFrame, o: FlatOptions | None = None, cut=None) -> dict[str, DataFrame]:
+def flat_output(views: DataFrame, insertions: DataFrame, impressions: DataFrame, actions: DataFrame, o: FlatOptions | None = None, cut=None, sides: bool = False) -> dict[str, DataFrame]:
     """The join job on narrow events: chained attribution, redundancy reduction, sessions and latest impressions.
 
     All inputs have the user key, ms, content_id and their ids ('' where absent); the key of every step is the user,
@@ -102,8 +111,9 @@ def flat_output(views: DataFrame, insertions: DataFrame, impressions: DataFrame,
     impression, action, redundant_impression, flat_session, latest_impressions, and the side tables: dropped impressions
     and actions, validation_error, mismatch_error, and debug_partial_response_insertion (insertions without a view).
     cut(df, name) may write a step and give back what it reads, so that steps used by several results run once.
+    sides: gives the side tables (FLAT_SIDES) only, without the steps that none of them is made of.
     """
-    o = o or FlatOptions()
+    o, probe = o or FlatOptions(), cut is not None
     cut = cut or (lambda df, _: df)
     impressions, bad_impressions = K.validated(impressions, K.impression_errors(), "IMPRESSION", [*A.USER, "ms", "impression_id"])
     cart = "cart" in actions.columns
@@ -111,30 +121,41 @@ def flat_output(views: DataFrame, insertions: DataFrame, impressions: DataFrame,
     actions, bad_actions = K.validated(carted, K.action_errors(), "ACTION", [*A.USER, "ms", "action_id"])
     actions = actions if cart else actions.drop("cart")
     above, shown_ids = ["request_id", "view_id", "content_id"], ["insertion_id", "request_id", "view_id"]
-    delivered = cut(_merged(A.attribute(views, insertions, o.view_insertion), "view_id", []), "delivered")
-    shown = cut(_with_left(A.attribute(delivered, impressions, o.insertion_impression), delivered, "insertion_id", above), "shown")
+    busy = not probe or A.has_busy(views, insertions)
+    delivered = cut(_merged(A.attribute(views, insertions, o.view_insertion, busy), "view_id", []), "delivered")
+    shown = cut(_attributed(delivered, impressions, o.insertion_impression, above, probe), "shown")
     joined = _merged(shown, "insertion_id", above)
-    acted = cut(_with_left(A.attribute(joined, actions, o.impression_action), joined, "impression_id", shown_ids), "acted")
+    acted = cut(_attributed(joined, actions, o.impression_action, shown_ids, probe), "acted")
+    ident = lambda df, c: df.withColumnRenamed(c, "id")
+    side = {
+        "dropped_impression": A.dropped(impressions, shown, [*A.USER, "impression_id"]),
+        "dropped_action": A.dropped(actions, acted, [*A.USER, "action_id", "content_id"]),
+        "validation_error": ident(bad_impressions, "impression_id").unionByName(ident(bad_actions, "action_id")),
+        "mismatch_error": _mismatched(shown, above, "IMPRESSION", "impression_id").unionByName(_mismatched(acted, shown_ids, "ACTION", "action_id")),
+        "debug_partial_response_insertion": delivered.where(S.blank(F.col("view_id"))),
+    }
+    if sides:
+        return side | {"redundant_impression": A.redundant(joined, o.redundancy_ms)}
     found = _merged(acted, "impression_id", shown_ids)
     roots, redundant, pointed = A.reduce_redundant(joined, found, o.redundancy_ms, cut)
     pointed = cut(pointed, "pointed")
     timed = lambda df: df.withColumn("ts", F.timestamp_millis("ms"))
-    ident = lambda df, c: df.withColumnRenamed(c, "id")
-    return {
+    return side | {
         "insertion": delivered,
         "impression": roots,
         "redundant_impression": redundant,
         "action": pointed,
-        "dropped_impression": A.dropped(impressions, shown, [*A.USER, "impression_id"]),
-        "dropped_action": A.dropped(actions, acted, [*A.USER, "action_id", "content_id"]),
         "flat_session": T.sessions(timed(roots), timed(pointed), o.session_gap),
         "latest_impressions": T.latest_impressions(pointed, roots, o.latest_window_ms, o.latest_most),
-        "validation_error": ident(bad_impressions, "impression_id").unionByName(ident(bad_actions, "action_id")),
-        "mismatch_error": _mismatched(shown, above, "IMPRESSION", "impression_id").unionByName(_mismatched(acted, shown_ids, "ACTION", "action_id")),
-        "debug_partial_response_insertion": delivered.where(S.blank(F.col("view_id"))),
     }
 
 
+def user_part(parts: int, user=A.USER) -> Column:
+    """The part of the users, of so many, that a row belongs to. No step of the join job looks beyond one user, so the
+    job over one part after the other gives the rows of the job over all."""
+    return F.pmod(F.xxhash64(*user), F.lit(parts)).cast("int")
+
+
 #: The joined tables by the result they are made of, with their keys.
 FLAT_KEYS = {
     "joined_impression": ("impression", ("platform_id", "insertion_id")),
@@ -145,9 +166,11 @@ FLAT_SIDES = ("dropped_impression", "dropped_action", "redundant_impression", "v
 
 
 def flat_tables(out: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The joined tables, user ids cleared, with their time as ms."""
+    """The joined tables whose results there are, user ids cleared, with their time as ms."""
     tables = {}
     for name, (result, _) in FLAT_KEYS.items():
+        if result not in out:
+            continue
         df = out[result]
         if "ms" not in df.columns:
             df = df.withColumn("ms", F.unix_millis("session_start"))

@@ -60,10 +60,20 @@ def impression_action(spark, sf_dir):
     return joined.select("action_id", "content_id", "left_key", "left_ms", "kind")
 
 
-def order_insertions(spark, sf_dir) -> DataFrame:
-    """Order lines as delivered insertions: ten minutes apart within their order."""
+def order_lines(spark, sf_dir) -> DataFrame:
+    """Order lines with their order's customer and date, as the tables have them."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    return rows.select("o_custkey", "o_orderdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+def order_insertions(spark, sf_dir) -> DataFrame:
+    """Order lines as delivered insertions: ten minutes apart within their order."""
+    return line_insertions(order_lines(spark, sf_dir))
+
+
+def line_insertions(rows: DataFrame) -> DataFrame:
+    """The same of rows of `order_lines`."""
     return rows.select(
         F.lit(1).cast("bigint").alias("platform_id"), F.col("o_custkey").cast("string").alias("log_user_id"),
         (V.millis(F.col("o_orderdate")) + F.col("l_linenumber") * 600_000).alias("ms"),

@@ -27,6 +27,12 @@ def write_dated(df: DataFrame, path: str, fmt: str = "parquet", codec: str = "sn
     df.hint("rebalance", *parts).write.mode(mode).partitionBy(*parts).option("compression", codec).format(fmt).save(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whatever store it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
 def overwrite_partitions(df: DataFrame, path: str, parts: list[str]) -> None:
     """Replaces only the partitions that df has rows of."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
